@@ -183,6 +183,6 @@ def attach(df: DataFrame, figures: DataFrame, keys: Sequence[str], spread: Seque
 
     Spark turns this into a broadcast at run time when the figures are measured to be small.
     """
-    salted = figures.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    salted = figures.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     rows = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts).cast("bigint")))
     return rows.join(salted, [*keys, "_salt"], "left").drop("_salt")

@@ -25,12 +25,15 @@ def group_quantiles(
     value: str,
     probs: Sequence[float],
     *,
+    spread: Sequence[str] | None = None,
     extra: Sequence[Column] = (),
     accuracy: int = ACCURACY,
     keep_all: int = KEEP_ALL,
 ) -> DataFrame:
-    """One row per group: ``keys``, ``n`` (non-null values), ``q`` (array in the order of
-    ``probs``) and any ``extra`` aggregates, which ride along on the first pass."""
+    """One row per group: ``keys``, ``n`` (non-null values) and ``q`` (array in the order of
+    ``probs``). Given ``extra`` aggregates these come along, and so do groups without any value.
+    ``spread`` names columns that tell the rows of a group apart, for salting; by default the
+    value itself."""
     keys = list(keys)
     margin = 5.0 / accuracy
     if keep_all * (margin - 1.0 / accuracy) < 1.0:
@@ -44,7 +47,9 @@ def group_quantiles(
         *keys, "n",
         F.when(F.col("n") > keep_all, F.col("_cuts")).alias("_cuts"),
     )
-    rows = attach(df.filter(v.isNotNull()).select(*keys, value), brackets, keys, [value])
+    spread = list(spread or [value])
+    narrow = df.filter(v.isNotNull()).select(*dict.fromkeys([*keys, value, *spread]))
+    rows = attach(narrow, brackets, keys, spread)
     inside = F.lit(False)
     below = F.lit(None).cast("double")
     for i in range(len(probs)):
@@ -75,5 +80,6 @@ def group_quantiles(
             for side in ("_lo", "_hi")
         )
         quantiles.append(lo + (hi - lo) * (h - F.floor(h)))
-    chosen = chosen.select(*keys, F.array(*quantiles).alias("q"))
-    return figures.drop("_cuts").join(chosen, keys, "left")
+    if not extra:
+        return chosen.select(*keys, F.col("_n").alias("n"), F.array(*quantiles).alias("q"))
+    return figures.drop("_cuts").join(chosen.select(*keys, F.array(*quantiles).alias("q")), keys, "left")

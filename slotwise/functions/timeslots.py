@@ -52,10 +52,11 @@ def minutes_between(start: str, end: str) -> Column:
 
 
 def fixed(c: Column | str, places: int = 6) -> Column:
-    """Half-up rounding by plain double arithmetic, so that every engine agrees on it."""
+    """Half-up rounding by plain double arithmetic, so that every engine agrees on it. Ties go up
+    even where the order of a sum has cost the last bit."""
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10**places)
-    return F.floor(c * scale + 0.5) / F.lit(scale)
+    return F.floor(c * scale + 0.5001) / F.lit(scale)
 
 
 def null_nan(c: Column) -> Column:

@@ -32,14 +32,19 @@ class Params:
     tree_rows: int = 256
     contamination: float = 0.01
     min_state_rows: int = 200
-    horizon: int = 12
-    n_lags: int = 36
+    horizon_min: int = 60
+    lags_min: int = 180
     season_min: int = 1440
     season_corr: float = 0.3
-    min_train_slots: int = 288
     min_train_rows: int = 200
     backtest_days: int = 30
     train_days: int = 60
+    gbt_trees: int = 100
+    gbt_rate: float = 0.1
+    gbt_depth: int = 3
+    gbt_refit_days: int = 7
+    arima_refit_days: int = 1
+    arima_train_days: int = 14
     arima_p: tuple[int, ...] = (0, 1, 2)
     arima_d: tuple[int, ...] = (0, 1)
     arima_q: tuple[int, ...] = (0, 1, 2)
@@ -65,6 +70,15 @@ class Params:
         """Whole slots in ``minutes``, at least ``least``."""
         return max(least, int(minutes // self.step_min))
 
+    @property
+    def horizon(self) -> int:
+        """Slots from a forecast's origin to its target; origins are as far apart."""
+        return self.slots(self.horizon_min)
+
+    @property
+    def n_lags(self) -> int:
+        return self.slots(self.lags_min)
+
     @property
     def season(self) -> int:
         return self.slots(self.season_min)
