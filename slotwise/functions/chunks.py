@@ -23,9 +23,8 @@ CHUNK = "chunk"
 _OWN = "_own"
 
 
-def chunk_of(order: Column | str, span: int) -> Column:
-    order = F.col(order) if isinstance(order, str) else order
-    return F.floor(order / F.lit(span)).cast("bigint")
+def chunk_of(order: str, span: int) -> Column:
+    return F.expr(_chunk_sql(order, span))
 
 
 def over_chunks(
@@ -48,18 +47,16 @@ def over_chunks(
     if before == 0 and after == 0:
         rows = df if CHUNK in df.columns else df.withColumn(CHUNK, chunk_of(order, span))
         return build(rows, Window.partitionBy(*keys, CHUNK).orderBy(order))
-    own = chunk_of(order, span)
-    offset = F.pmod(F.col(order), F.lit(span).cast("bigint"))
-    targets = [F.struct(own.alias(CHUNK), F.lit(True).alias(_OWN))]
+    own = _chunk_sql(order, span)
+    offset = f"pmod({order}, {span})"
+    targets = [own]
     if before:
-        targets.append(F.when(offset >= span - before, F.struct((own + 1).alias(CHUNK), F.lit(False).alias(_OWN))))
+        targets.append(f"case when {offset} >= {span - before} then {own} + 1 end")
     if after:
-        targets.append(F.when(offset < after, F.struct((own - 1).alias(CHUNK), F.lit(False).alias(_OWN))))
-    copied = (
-        df.drop(CHUNK)
-        .withColumn("_to", F.explode(F.array_compact(F.array(*targets))))
-        .withColumns({CHUNK: F.col(f"_to.{CHUNK}"), _OWN: F.col(f"_to.{_OWN}")})
-        .drop("_to")
+        targets.append(f"case when {offset} < {after} then {own} - 1 end")
+    kept = [f"`{c}`" for c in df.columns if c != CHUNK]
+    copied = df.selectExpr(*kept, f"explode(array_compact(array({', '.join(targets)}))) as {CHUNK}").selectExpr(
+        "*", f"{CHUNK} = {own} as {_OWN}"
     )
     out = build(copied, Window.partitionBy(*keys, CHUNK).orderBy(order))
     return out.filter(F.col(_OWN)).drop(_OWN)
@@ -67,13 +64,17 @@ def over_chunks(
 
 @dataclass(frozen=True)
 class Carry:
-    """One running column: ``kind`` is ``last``, ``next``, ``sum`` or ``max`` of ``value``.
+    """One running column: ``kind`` is ``last``, ``next``, ``sum`` or ``max`` of the SQL ``value``.
 
     ``last`` is the latest non-null value up to the row, ``next`` the first from the row on.
     """
 
     kind: str
-    value: Column
+    value: str
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("last", "next", "sum", "max"):
+            raise ValueError(f"unknown kind {self.kind!r}")
 
 
 def carry(
@@ -94,70 +95,72 @@ def carry(
     n / span**levels if the summaries are summarised again. Rows equal in ``order`` are told
     apart by ``ties``.
     """
-    added = {f"_v{i}": spec.value for i, spec in enumerate(specs.values())}
-    names = list(specs)
-    kinds = [spec.kind for spec in specs.values()]
-    if CHUNK not in df.columns:
-        added[CHUNK] = chunk_of(order, span)
-    rows = df.withColumns(added)
+    keys, kinds = list(keys), [spec.kind for spec in specs.values()]
+    has_chunk = CHUNK in df.columns
+    rows = df.selectExpr(
+        "*",
+        *[f"{spec.value} as _v{i}" for i, spec in enumerate(specs.values())],
+        *([] if has_chunk else [f"{_chunk_sql(order, span)} as {CHUNK}"]),
+    )
     if levels == 0:
-        return _run(rows, list(keys), order, ties, names, kinds, exclusive, None)
+        return _run(rows, df.columns + ([] if has_chunk else [CHUNK]), keys, order, ties, specs, exclusive, None)
 
     prefix = f"_c{levels}_"
     summary = rows.groupBy(*keys, CHUNK).agg(
-        *[_summarise(kind, F.col(f"_v{i}"), F.col(order)).alias(f"_s{i}") for i, kind in enumerate(kinds)]
+        *[F.expr(f"{_SUMMARY[kind].format(v=f'_v{i}', o=order)} as _s{i}") for i, kind in enumerate(kinds)]
     )
     carried = carry(
         summary.withColumnRenamed(CHUNK, "_at"),
         keys,
         "_at",
         span,
-        {f"{prefix}{i}": Carry(kind, F.col(f"_s{i}")) for i, kind in enumerate(kinds)},
+        {f"{prefix}{i}": Carry(kind, f"_s{i}") for i, kind in enumerate(kinds)},
         exclusive=True,
         levels=levels - 1,
     )
-    carried = carried.select(*keys, F.col("_at").alias(CHUNK), *[f"{prefix}{i}" for i in range(len(kinds))])
-    rows = rows.join(carried, [*keys, CHUNK], "left")
-    return _run(rows, [*keys, CHUNK], order, ties, names, kinds, exclusive, prefix)
+    carried = carried.selectExpr(*keys, f"_at as {CHUNK}", *[f"{prefix}{i}" for i in range(len(kinds))])
+    columns = df.columns + ([] if has_chunk else [CHUNK])
+    return _run(
+        rows.join(carried, [*keys, CHUNK], "left"), columns, [*keys, CHUNK], order, ties, specs, exclusive, prefix
+    )
 
 
-def _summarise(kind: str, value: Column, order: Column) -> Column:
-    if kind == "last":
-        return F.max_by(value, F.when(value.isNotNull(), order))
-    if kind == "next":
-        return F.min_by(value, F.when(value.isNotNull(), order))
-    return F.sum(value) if kind == "sum" else F.max(value)
+_SUMMARY = {
+    "last": "max_by({v}, case when {v} is not null then {o} end)",
+    "next": "min_by({v}, case when {v} is not null then {o} end)",
+    "sum": "sum({v})",
+    "max": "max({v})",
+}
+# Value within the chunk, and how what is carried in joins it.
+_LOCAL = {"last": "last({v}, true)", "next": "last({v}, true)", "sum": "sum({v})", "max": "max({v})"}
+_JOINED = {
+    "last": "coalesce({local}, {incoming})",
+    "next": "coalesce({local}, {incoming})",
+    "sum": "coalesce({local} + {incoming}, {local}, {incoming})",
+    "max": "greatest({local}, {incoming})",
+}
 
 
-def _run(rows, partition, order, ties, names, kinds, exclusive, carried) -> DataFrame:
-    edge = -1 if exclusive else 0
-    forward = Window.partitionBy(*partition).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, edge)
+def _chunk_sql(order: str, span: int) -> str:
+    return f"cast(floor({order} / {span}D) as bigint)"
+
+
+def _run(rows, columns, partition, order, ties, specs, exclusive, carried) -> DataFrame:
+    frame = f"rows between unbounded preceding and {'1 preceding' if exclusive else 'current row'}"
+    by = f"partition by {', '.join(partition)} order by "
+    forward = f"({by}{', '.join([order, *ties])} {frame})"
     # An unbounded-following frame is quadratic in Spark, so look ahead by running backwards.
-    backward = (
-        Window.partitionBy(*partition)
-        .orderBy(F.col(order).desc(), *[F.col(t).desc() for t in ties])
-        .rowsBetween(Window.unboundedPreceding, edge)
-    )
-    out = {}
-    for i, (name, kind) in enumerate(zip(names, kinds)):
-        value = F.col(f"_v{i}")
-        incoming = F.col(f"{carried}{i}") if carried else None
-        if kind in ("last", "next"):
-            local = F.last(value, ignorenulls=True).over(forward if kind == "last" else backward)
-            out[name] = local if incoming is None else F.coalesce(local, incoming)
-        elif kind == "sum":
-            local = F.sum(value).over(forward)
-            out[name] = local if incoming is None else F.coalesce(local + incoming, local, incoming)
-        elif kind == "max":
-            local = F.max(value).over(forward)
-            out[name] = local if incoming is None else F.greatest(local, incoming)
-        else:
-            raise ValueError(f"unknown kind {kind!r}")
-    done = rows.withColumns(out)
-    extra = [f"_v{i}" for i in range(len(kinds))]
-    if carried:
-        extra += [f"{carried}{i}" for i in range(len(kinds))]
-    return done.drop(*extra)
+    backward = f"({by}{', '.join(f'{c} desc' for c in [order, *ties])} {frame})"
+    local = [
+        f"{_LOCAL[spec.kind].format(v=f'_v{i}')} over {backward if spec.kind == 'next' else forward} as _l{i}"
+        for i, spec in enumerate(specs.values())
+    ]
+    joined = [
+        (f"_l{i}" if carried is None else _JOINED[spec.kind].format(local=f"_l{i}", incoming=f"{carried}{i}"))
+        + f" as `{name}`"
+        for i, (name, spec) in enumerate(specs.items())
+    ]
+    return rows.selectExpr("*", *local).selectExpr(*[f"`{c}`" for c in columns if c not in specs], *joined)
 
 
 def positions(
@@ -167,7 +170,7 @@ def positions(
     rows = df if CHUNK in df.columns else df.withColumn(CHUNK, chunk_of(order, span))
     counts = rows.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     offsets = carry(
-        counts.withColumnRenamed(CHUNK, "_at"), keys, "_at", span, {"_before": Carry("sum", F.col("_n"))},
+        counts.withColumnRenamed(CHUNK, "_at"), keys, "_at", span, {"_before": Carry("sum", "_n")},
         exclusive=True, levels=levels - 1,
     ).select(*keys, F.col("_at").alias(CHUNK), "_before")
     w = Window.partitionBy(*keys, CHUNK).orderBy(order)

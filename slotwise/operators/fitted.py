@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import attach, over_chunks
+from slotwise.functions.fits import side_by_side
 from slotwise.functions.timeslots import slot_start
 from slotwise.operators.forecasts import FORECAST_COLUMNS, target_slots, walk_forward_origins
 from slotwise.operators.grid import SLOT
@@ -58,13 +60,13 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
     complete = lagged.na.drop(subset=["y", "y_true", *lags])
     partitions = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = params.horizon * params.step
-    parts = []
-    for cutoff in fold_cutoffs(origins, params):
+
+    def fold(cutoff: dt.datetime) -> DataFrame | None:
         stop = cutoff + dt.timedelta(days=params.gbt_refit_days)
         seen = F.lit(cutoff - dt.timedelta(seconds=reach)).cast("timestamp_ntz")
         train = complete.filter(F.col(TS) <= seen)
         if train.limit(params.min_train_rows).count() < params.min_train_rows:
-            continue
+            return None
         scale = train.groupBy(SERIES).agg(
             F.avg("y").alias("_m"), F.coalesce(F.nullif(F.stddev_pop("y"), F.lit(0.0)), F.lit(1.0)).alias("_d")
         )
@@ -85,21 +87,17 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
         ).fit(learn)
         window = (F.col(TS) >= F.lit(cutoff).cast("timestamp_ntz")) & (F.col(TS) < F.lit(stop).cast("timestamp_ntz"))
         test = scaled(origins.filter(window).na.drop(subset=lags))
-        parts.append(
-            model.transform(test)
-            .withColumn("_target", F.col(SLOT) + params.horizon)
-            .select(
-                SERIES, F.col(TS).alias("origin"), slot_start("_target", params.step).alias(TS),
-                F.lit("gbr_lags").alias("model"), "y_true",
-                (F.col("prediction") * F.col("_d") + F.col("_m")).alias("y_pred"),
-            )
+        predicted = model.transform(test).withColumn("_target", F.col(SLOT) + params.horizon)
+        return predicted.select(
+            SERIES, F.col(TS).alias("origin"), slot_start("_target", params.step).alias(TS),
+            F.lit("gbr_lags").alias("model"), "y_true",
+            (F.col("prediction") * F.col("_d") + F.col("_m")).alias("y_pred"),
         )
-    if not parts:
-        return None
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+
+    cutoffs = fold_cutoffs(origins, params)
+    found = side_by_side(grid.sparkSession, fold, cutoffs, params.parallel_fits)
+    parts = [part for part in found if part is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def arima_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame:

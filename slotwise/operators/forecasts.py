@@ -50,7 +50,7 @@ def walk_forward_origins(rows: DataFrame, params: Params, *, test_from_days: int
 
 def last_observation(rows: DataFrame, params: Params, *, value: str = "y", name: str = "y_last") -> DataFrame:
     """Latest non-null value at or before each slot (as-of lookup on the grid)."""
-    return carry(rows, [SERIES], SLOT, params.span, {name: Carry("last", F.col(value))})
+    return carry(rows, [SERIES], SLOT, params.span, {name: Carry("last", value)})
 
 
 def seasonality(rows: DataFrame, params: Params) -> DataFrame:
@@ -71,7 +71,7 @@ def _pair_sums() -> dict[str, Carry]:
     that they do not cancel."""
     both, x, y = "y is not null and _x is not null", "(_x - y_mean)", "(y - y_mean)"
     terms = {"_n": "1D", "_sx": x, "_sy": y, "_sxx": f"{x} * {x}", "_sxy": f"{x} * {y}"}
-    return {k: Carry("sum", F.expr(f"case when {both} then {v} else 0D end")) for k, v in terms.items()}
+    return {k: Carry("sum", f"case when {both} then {v} else 0D end") for k, v in terms.items()}
 
 
 def _closed_form(running: DataFrame, params: Params) -> DataFrame:
@@ -112,7 +112,7 @@ def window_forecasts(grid: DataFrame, target: str, params: Params, *, test_from_
         )
 
     known = over_chunks(with_figures(rows, params), [SERIES], SLOT, params.span, look, max(season - h, 1), h)
-    known = carry(known, [SERIES], SLOT, params.span, {"y_last": Carry("last", F.col("y")), **_pair_sums()})
+    known = carry(known, [SERIES], SLOT, params.span, {"y_last": Carry("last", "y"), **_pair_sums()})
     origins = walk_forward_origins(_closed_form(known, params), params, test_from_days=test_from_days)
     at = attach(origins, seasonality(rows, params), [SERIES], [TS])
     seasonal = F.coalesce(F.col("is_seasonal"), F.lit(False))

@@ -84,10 +84,10 @@ def interpolate(df: DataFrame, sensors: Sequence[str], params: Params, *, fill:
     limit = params.slots(params.fill_min)
     specs = {}
     for c in sensors:
-        at = F.expr(f"case when `{c}` is not null then {SLOT} end")
+        at = f"case when `{c}` is not null then {SLOT} end"
         specs |= {
-            f"_pt_{c}": Carry("last", at), f"_pv_{c}": Carry("last", F.col(c)),
-            f"_nt_{c}": Carry("next", at), f"_nv_{c}": Carry("next", F.col(c)),
+            f"_pt_{c}": Carry("last", at), f"_pv_{c}": Carry("last", f"`{c}`"),
+            f"_nt_{c}": Carry("next", at), f"_nv_{c}": Carry("next", f"`{c}`"),
         }
     rows = df.withColumn(SLOT, slot_of(TS, params.step)).withColumn(CHUNK, chunk_of(SLOT, params.span))
     rows = carry(rows, [SERIES], SLOT, params.span, specs)

@@ -22,7 +22,7 @@ def islands(df: DataFrame, mask: str, params: Params) -> DataFrame:
     finds without a sort over the series.
     """
     rows = df.withColumn(SLOT, slot_of(TS, params.step))
-    off = F.when(~F.coalesce(F.col(mask), F.lit(False)), F.col(SLOT))
+    off = f"case when not coalesce(`{mask}`, false) then {SLOT} end"
     rows = carry(rows, [SERIES], SLOT, params.span, {ISLAND: Carry("last", off)})
     return rows.filter(F.col(mask)).drop(SLOT)
 
@@ -88,9 +88,9 @@ def merge_periods(periods: DataFrame, params: Params, *, attributes: Sequence[Co
     span = params.span * params.step
     reach = carry(
         rows.withColumn(CHUNK, chunk_of("_order", span)), [SERIES], "_order", span,
-        {"_reach": Carry("max", F.col("end"))}, ties=["start", "end"], exclusive=True,
+        {"_reach": Carry("max", "end")}, ties=["start", "end"], exclusive=True,
     ).drop(CHUNK)
-    opens = F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach")), F.col("start"))
+    opens = "case when _reach is null or start > _reach then start end"
     groups = carry(
         reach.withColumn(CHUNK, chunk_of("_order", span)), [SERIES], "_order", span,
         {"_group": Carry("last", opens)}, ties=["start", "end"],
@@ -129,7 +129,7 @@ def mark_periods(df: DataFrame, periods: DataFrame, params: Params, *, name: str
     rows = df.drop(CHUNK).withColumn(SLOT, slot_of(TS, params.step)).withColumn("_grid", F.lit(True))
     both = rows.unionByName(steps, allowMissingColumns=True).withColumn("_late", F.col("_grid").isNotNull())
     open_count = carry(
-        both, [SERIES], SLOT, params.span, {"_open": Carry("sum", F.col("_d"))}, ties=["_late"]
+        both, [SERIES], SLOT, params.span, {"_open": Carry("sum", "_d")}, ties=["_late"]
     )
     return (
         open_count.filter("_grid")
@@ -165,7 +165,7 @@ def ingest_gaps(df: DataFrame, minutes: int) -> DataFrame:
         F.min(TS).alias("_first"), F.max(TS).alias("_last")
     )
     span = 4096
-    before = carry(stretches, [SERIES], "_b", span, {"gap_start": Carry("last", F.col("_last"))}, exclusive=True)
+    before = carry(stretches, [SERIES], "_b", span, {"gap_start": Carry("last", "_last")}, exclusive=True)
     gaps = before.select(SERIES, "gap_start", F.col("_first").alias("gap_end"))
     gaps = gaps.withColumn("gap_min", minutes_between("gap_start", "gap_end"))
     return gaps.filter(F.col("gap_min") > minutes)
@@ -187,7 +187,7 @@ def next_start(events: DataFrame, targets: DataFrame, params: Params) -> DataFra
     starts = targets.select(SERIES, F.col("start").alias("_t")).distinct().withColumn("_s", F.col("_t"))
     both = ends.unionByName(starts).groupBy(SERIES, "_t").agg(F.max("_s").alias("_s"))
     both = both.withColumn("_order", epoch_seconds("_t"))
-    ahead = carry(both, [SERIES], "_order", span, {"next_start": Carry("next", F.col("_s"))}, ties=["_t"])
+    ahead = carry(both, [SERIES], "_order", span, {"next_start": Carry("next", "_s")}, ties=["_t"])
     return events.join(
         ahead.select(SERIES, F.col("_t").alias("end"), "next_start"), [SERIES, "end"], "left"
     ).withColumn("lead_min", minutes_between("end", "next_start"))

@@ -63,17 +63,24 @@ def feature_names(sensors: Sequence[str], params: Params) -> list[str]:
     ]
 
 
-def _features(rows: DataFrame, w: WindowSpec, sensors: Sequence[str], params: Params) -> DataFrame:
-    out = {}
+def _features(
+    rows: DataFrame, keys: Sequence[str], order: str, sensors: Sequence[str], params: Params, *, by_slot: bool = False
+) -> DataFrame:
+    """``by_slot`` frames reach over slots instead of rows."""
+    window = f"partition by {', '.join([*keys, CHUNK])} order by {order}"
+    unit = "range" if by_slot else "rows"
+    out = []
     for c in sensors:
-        out[f"{c}_diff1"] = F.col(c) - F.lag(c, 1).over(w)
+        out.append(f"`{c}` - max(`{c}`) over ({window} {unit} between 1 preceding and 1 preceding) as `{c}_diff1`")
         for minutes in params.feature_windows_min:
             n = params.slots(minutes)
-            frame = w.rowsBetween(-(n - 1), 0)
-            enough = F.count(c).over(frame) >= max(1, n // 2)
-            out[f"{c}_mean_{minutes}m"] = F.when(enough, F.avg(c).over(frame))
-            out[f"{c}_std_{minutes}m"] = F.when(enough, F.stddev_samp(c).over(frame))
-    return rows.withColumns(out)
+            frame = f"over ({window} {unit} between {n - 1} preceding and current row)"
+            for stat, function in (("mean", "avg"), ("std", "stddev_samp")):
+                out.append(
+                    f"case when count(`{c}`) {frame} >= {max(1, n // 2)} then {function}(`{c}`) {frame} end"
+                    f" as `{c}_{stat}_{minutes}m`"
+                )
+    return rows.selectExpr("*", *out)
 
 
 def rolling_features(
@@ -95,34 +102,17 @@ def rolling_features(
     before = max(before, 1)
     names = feature_names(sensors, params)
     rows = df.withColumn(SLOT, slot_of(TS, params.step))
+    order = SLOT
     if compacted and not break_at_gaps:
-        rows = positions(rows, keys, SLOT, params.span)
-        done = over_chunks(
-            rows, keys, "pos", params.span, lambda r, w: _features(r, w, sensors, params), before
-        ).drop("pos", CHUNK)
-    elif compacted:
-        done = over_chunks(
-            rows, keys, SLOT, params.span, lambda r, w: _gap_features(r, w, sensors, params), before
-        )
-    else:
-        done = over_chunks(rows, keys, SLOT, params.span, lambda r, w: _features(r, w, sensors, params), before)
+        order = "pos"
+        rows = positions(rows, keys, SLOT, params.span, name=order)
+    done = over_chunks(
+        rows, keys, order, params.span,
+        lambda r, _: _features(r, keys, order, sensors, params, by_slot=compacted and break_at_gaps), before,
+    )
     return done.na.drop(subset=names).select(*keys, TS, *names)
 
 
-def _gap_features(rows: DataFrame, w: WindowSpec, sensors: Sequence[str], params: Params) -> DataFrame:
-    out = {}
-    previous = w.rangeBetween(-1, -1)
-    for c in sensors:
-        out[f"{c}_diff1"] = F.col(c) - F.max(c).over(previous)
-        for minutes in params.feature_windows_min:
-            n = params.slots(minutes)
-            frame = w.rangeBetween(-(n - 1), 0)
-            enough = F.count(c).over(frame) >= max(1, n // 2)
-            out[f"{c}_mean_{minutes}m"] = F.when(enough, F.avg(c).over(frame))
-            out[f"{c}_std_{minutes}m"] = F.when(enough, F.stddev_samp(c).over(frame))
-    return rows.withColumns(out)
-
-
 def rolling_mad_z(df: DataFrame, target: str, params: Params) -> DataFrame:
     """Adds ``med``, ``mad`` (0 becomes null) and ``z`` = |value - med| / mad of the target."""
     win = max(3, params.slots(params.feature_windows_min[0]))

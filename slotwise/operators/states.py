@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import attach
+from slotwise.functions.fits import side_by_side
 from slotwise.operators.profile import describe
 from slotwise.params import SERIES, TS, Params
 
@@ -69,17 +70,25 @@ def kmeans_sweep(vectors: DataFrame, params: Params) -> Sweep:
     all rows.
     """
     evaluator = ClusteringEvaluator(featuresCol=FEATURES, predictionCol="prediction")
-    best, curve = None, []
-    for k in range(params.kmin, params.kmax + 1):
-        fits = [
-            KMeans(k=k, seed=params.seed + i, featuresCol=FEATURES).fit(vectors) for i in range(max(1, params.n_init))
-        ]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-        score = evaluator.evaluate(model.transform(vectors)) if model.summary.k > 1 else -1.0
-        curve.append((k, float(model.summary.trainingCost), float(score)))
-        if best is None or score > best[0]:
-            best = (score, k, model)
-    return Sweep(model=best[2], k=best[1], curve=curve)
+    spark = vectors.sparkSession
+    starts = [(k, i) for k in range(params.kmin, params.kmax + 1) for i in range(max(1, params.n_init))]
+
+    def fit(start: tuple[int, int]) -> KMeansModel:
+        k, i = start
+        return KMeans(k=k, seed=params.seed + i, featuresCol=FEATURES).fit(vectors)
+
+    cheapest: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(starts, side_by_side(spark, fit, starts, params.parallel_fits)):
+        if k not in cheapest or model.summary.trainingCost < cheapest[k].summary.trainingCost:
+            cheapest[k] = model
+
+    def judge(k: int) -> float:
+        return float(evaluator.evaluate(cheapest[k].transform(vectors))) if k > 1 else -1.0
+
+    scores = dict(zip(cheapest, side_by_side(spark, judge, list(cheapest), params.parallel_fits)))
+    curve = [(k, float(cheapest[k].summary.trainingCost), scores[k]) for k in sorted(cheapest)]
+    best = max(sorted(cheapest), key=lambda k: scores[k])
+    return Sweep(model=cheapest[best], k=best, curve=curve)
 
 
 def principal_axes(vectors: DataFrame, params: Params, keep: Sequence[str] = (SERIES, TS)) -> DataFrame:

@@ -51,6 +51,8 @@ class Params:
     seed: int = 42
     # Slots of one series that a single window partition may hold.
     span: int = 131_072
+    # Model fits that run at the same time.
+    parallel_fits: int = 4
 
     def __post_init__(self) -> None:
         if self.step_min <= 0 or DAY_SECONDS % (self.step_min * 60):
