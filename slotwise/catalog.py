@@ -200,7 +200,7 @@ def downtime_pareto(spark, folder):
 
 
 def merge_periods(spark, folder):
-    return round_doubles(periods.merge_periods(event_spans(spark, folder, "purchase"), P))
+    return round_doubles(periods.merge_periods(event_spans(spark, folder, "purchase")))
 
 
 def slots_in_periods(spark, folder):
@@ -311,7 +311,7 @@ def anomaly_lead_time(spark, folder):
     rows = base(spark, folder)
     early = anomaly_plan.mad_periods(rows, TARGET, P).select(SERIES, "start", "end")
     down = shutdown_plan.shutdowns_on_grid(rows, LIMITS, P)
-    return round_doubles(periods.next_start(early, down, P))
+    return round_doubles(periods.next_start(early, down))
 
 
 def _states(spark: SparkSession, folder: str) -> tuple[DataFrame, state_plan.States]:

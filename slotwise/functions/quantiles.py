@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` keeps a value -> count map of the whole group in one task. Here a
 bounded sketch first brackets each wanted rank; rows outside the brackets are only counted,
-rows inside keep their value. The counts and kept values together give the exact ranks.
+rows inside keep their value. Brackets are cut into cells, so that ordering the kept values
+is spread as well. Counts and kept values together give the exact ranks.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from slotwise.functions.chunks import attach
 
 # Sketch error is n / ACCURACY ranks; brackets reach five times as far on either side.
-ACCURACY = 50_000
+ACCURACY = 10_000
 KEEP_ALL = 20_000
+CELLS = 1024
 
 
 def group_quantiles(
@@ -30,56 +32,69 @@ def group_quantiles(
     accuracy: int = ACCURACY,
     keep_all: int = KEEP_ALL,
 ) -> DataFrame:
-    """One row per group: ``keys``, ``n`` (non-null values) and ``q`` (array in the order of
-    ``probs``). Given ``extra`` aggregates these come along, and so do groups without any value.
-    ``spread`` names columns that tell the rows of a group apart, for salting; by default the
-    value itself."""
-    keys = list(keys)
+    """One row per group: ``keys``, ``n`` (non-null values) and ``q`` (array in the order of the
+    ascending ``probs``). Given ``extra`` aggregates these come along, and so do groups without
+    any value. ``spread`` names columns that tell the rows of a group apart, for salting; by
+    default the value itself. Groups of up to ``keep_all`` values are kept as they are."""
+    keys, probs = list(keys), list(probs)
     margin = 5.0 / accuracy
     if keep_all * (margin - 1.0 / accuracy) < 1.0:
         raise ValueError("keep_all is too small for this accuracy")
+    if probs != sorted(probs):
+        raise ValueError("probs must ascend")
     cuts = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
-    v = F.col(value)
     figures = df.groupBy(*keys).agg(
-        F.count(v).alias("n"), F.percentile_approx(v, cuts, accuracy).alias("_cuts"), *extra
-    )
-    brackets = figures.select(
-        *keys, "n",
-        F.when(F.col("n") > keep_all, F.col("_cuts")).alias("_cuts"),
+        F.count(value).alias("n"), F.percentile_approx(value, cuts, accuracy).alias("_cuts"), *extra
     )
+    brackets = figures.selectExpr(*keys, "n", f"case when n > {keep_all} then _cuts end as _cuts")
     spread = list(spread or [value])
-    narrow = df.filter(v.isNotNull()).select(*dict.fromkeys([*keys, value, *spread]))
+    narrow = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, value, *spread]))
     rows = attach(narrow, brackets, keys, spread)
-    inside = F.lit(False)
-    below = F.lit(None).cast("double")
-    for i in range(len(probs)):
-        lo, hi = F.col("_cuts")[2 * i], F.col("_cuts")[2 * i + 1]
-        inside = inside | v.between(lo, hi)
-        below = F.greatest(below, F.when(v > hi, hi))
-    kept = F.col("_cuts").isNull() | inside
-    # A counted row sorts at the upper end of the bracket below it, after kept rows of that value.
     histogram = (
-        rows.select(*keys, "n", F.when(kept, v).otherwise(below).alias("_at"), (~kept).alias("_counted"))
-        .groupBy(*keys, "n", "_at", "_counted")
+        rows.selectExpr(*keys, "n", f"{_place(value, len(probs))} as _cell", f"`{value}` as _v")
+        # Even cells lie between brackets; cell -1 holds a small group whole.
+        .selectExpr(*keys, "n", "_cell", f"_cell >= 0 and _cell % {2 * CELLS} < {CELLS} as _counted", "_v")
+        .selectExpr(*keys, "n", "_cell", "_counted", "case when not _counted then _v end as _at")
+        .groupBy(*keys, "n", "_cell", "_counted", "_at")
         .agg(F.count(F.lit(1)).alias("_m"))
     )
-    w = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), "_counted")
-    ranked = histogram.withColumn("_upto", F.sum("_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    picks = []
-    for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        for name, rank in ((f"_lo{i}", F.floor(h)), (f"_hi{i}", F.ceil(h))):
-            hit = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_m") <= rank) & ~F.col("_counted")
-            picks.append(F.max(F.when(hit, F.col("_at"))).alias(name))
-    chosen = ranked.groupBy(*keys, F.col("n").alias("_n")).agg(*picks)
+    cells = histogram.groupBy(*keys, "_cell").agg(F.sum("_m").alias("_m"))
+    upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(*keys, "_cell", F.coalesce(F.sum("_m").over(upto), F.lit(0)).alias("_before"))
+    w = Window.partitionBy(*keys, "_cell").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        histogram.filter("not _counted")
+        .join(starts, [*keys, "_cell"])
+        .withColumn("_upto", F.col("_before") + F.sum("_m").over(w))
+    )
+    picks = [
+        F.expr(f"max(case when _upto > {rank} and _upto - _m <= {rank} then _at end)").alias(f"_{side}{i}")
+        for i, p in enumerate(probs)
+        for side, rank in (("lo", f"floor({float(p)}D * (n - 1))"), ("hi", f"ceil({float(p)}D * (n - 1))"))
+    ]
+    chosen = ranked.groupBy(*keys, "n").agg(*picks)
+    missed = "cast(raise_error('quantile bracket missed its rank') as double)"
     quantiles = []
     for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = (
-            F.coalesce(F.col(f"{side}{i}"), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-            for side in ("_lo", "_hi")
-        )
-        quantiles.append(lo + (hi - lo) * (h - F.floor(h)))
+        lo, hi = f"coalesce(_lo{i}, {missed})", f"coalesce(_hi{i}, {missed})"
+        h = f"{float(p)}D * (n - 1)"
+        quantiles.append(f"{lo} + ({hi} - {lo}) * ({h} - floor({h}))")
+    found = chosen.selectExpr(*keys, "n", f"array({', '.join(quantiles)}) as q")
     if not extra:
-        return chosen.select(*keys, F.col("_n").alias("n"), F.array(*quantiles).alias("q"))
-    return figures.drop("_cuts").join(chosen.select(*keys, F.array(*quantiles).alias("q")), keys, "left")
+        return found
+    return figures.drop("_cuts").join(found.drop("n"), keys, "left")
+
+
+def _place(value: str, brackets: int) -> str:
+    """Number of the cell a value falls into; cells ascend with the value.
+
+    Bracket i (from 0) owns cells (2i+1) * CELLS onwards, what lies after it cell (2i+2) * CELLS.
+    """
+    v = f"`{value}`"
+    cases = ["when _cuts is null then -1"]
+    for i in range(brackets):
+        lo, hi = f"_cuts[{2 * i}]", f"_cuts[{2 * i + 1}]"
+        inner = f"least({CELLS - 1}, cast(floor(({v} - {lo}) / nullif({hi} - {lo}, 0D) * {CELLS}) as int))"
+        cases.append(f"when {v} < {lo} then {2 * i * CELLS}")
+        cases.append(f"when {v} <= {hi} then {(2 * i + 1) * CELLS} + coalesce({inner}, 0)")
+    return f"case {' '.join(cases)} else {2 * brackets * CELLS} end"

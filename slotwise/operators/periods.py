@@ -13,6 +13,8 @@ from slotwise.operators.grid import SLOT
 from slotwise.params import SERIES, TS, Params
 
 ISLAND = "island"
+# Seconds per chunk where rows are ordered by instants instead of slots.
+INSTANT_CHUNK = 300
 
 
 def islands(df: DataFrame, mask: str, params: Params) -> DataFrame:
@@ -79,13 +81,13 @@ def at_least(periods: DataFrame, minutes: float) -> DataFrame:
     return periods.filter(F.col("duration_min") >= minutes)
 
 
-def merge_periods(periods: DataFrame, params: Params, *, attributes: Sequence[Column] = ()) -> DataFrame:
+def merge_periods(periods: DataFrame, *, attributes: Sequence[Column] = ()) -> DataFrame:
     """Union of overlapping or touching periods (next start <= furthest end so far)."""
     if not attributes:
-        # Of periods with the same start only the longest matters, which bounds a chunk.
+        # Of periods with the same start only the longest matters.
         periods = periods.groupBy(SERIES, "start").agg(F.max("end").alias("end"))
     rows = periods.withColumn("_order", epoch_seconds("start"))
-    span = params.span * params.step
+    span = INSTANT_CHUNK
     reach = carry(
         rows.withColumn(CHUNK, chunk_of("_order", span)), [SERIES], "_order", span,
         {"_reach": Carry("max", "end")}, ties=["start", "end"], exclusive=True,
@@ -176,12 +178,12 @@ def sustained(df: DataFrame, mask: str, minutes: float, params: Params) -> DataF
     return at_least(mask_to_periods(df, mask, params), minutes)
 
 
-def next_start(events: DataFrame, targets: DataFrame, params: Params) -> DataFrame:
+def next_start(events: DataFrame, targets: DataFrame) -> DataFrame:
     """For each event period the first target period that starts at or after it ends.
 
     Both sides are one ordered stream in which every event looks ahead; no join on a range.
     """
-    span = params.span * params.step
+    span = INSTANT_CHUNK
     # Many events may end in the same second: their answer is the same, so they share a row.
     ends = events.select(SERIES, F.col("end").alias("_t")).distinct().withColumn("_s", F.lit(None).cast("timestamp_ntz"))
     starts = targets.select(SERIES, F.col("start").alias("_t")).distinct().withColumn("_s", F.col("_t"))
