@@ -67,10 +67,11 @@ def test_labels_follow_the_regimes(found, regimes):
     assert names == {"State_0", "State_1", "State_2"}
 
 
-def test_state_summary_has_the_levels(found):
-    got = found.summary.filter("sensor = 'a'").orderBy("mean").toPandas()
-    np.testing.assert_allclose(got["median"], [10, 50, 90], atol=1.0)
-    assert sorted(got["cluster"]) == [0, 1, 2]
+def test_state_summary_equals_pandas(found, regimes):
+    joined = regimes.join(found.labels, ["series_id", "ts"]).toPandas()
+    want = joined.groupby("cluster")["a"].agg(["mean", "std", "median", "min", "max"])
+    got = collected(found.summary.filter("sensor = 'a'"), "cluster").set_index("cluster")
+    pd.testing.assert_frame_equal(got[want.columns], want, check_dtype=False, check_index_type=False)
 
 
 def test_scatter_axes(found):
