@@ -175,11 +175,11 @@ def decile_fallback_mask(spark, folder):
 
 
 def rolling_median_centered(spark, folder):
-    return round_doubles(rolling.smooth_centered(filled(spark, folder), SENSORS, P).drop("chunk"))
+    return round_doubles(rolling.smooth_centered(filled(spark, folder), SENSORS, P).drop("chunk", "slot"))
 
 
 def shutdown_mask(spark, folder):
-    return shutdown_plan.shutdown_mask(filled(spark, folder), LIMITS, P).drop("chunk")
+    return shutdown_plan.shutdown_mask(filled(spark, folder), LIMITS, P).drop("chunk", "slot")
 
 
 def mask_to_periods(spark, folder):

@@ -52,11 +52,11 @@ def mask_to_periods(
 def _runs(df: DataFrame, mask: str, params: Params) -> DataFrame:
     """Runs within each chunk first; then only runs that touch a chunk edge, two per chunk at
     most, are looked at across chunks."""
-    slot = slot_of(TS, params.step)
-    rows = df.select(SERIES, TS, *([CHUNK] if CHUNK in df.columns else []), F.col(mask).alias("_on"), slot.alias(SLOT))
+    slot = F.col(SLOT) if SLOT in df.columns else slot_of(TS, params.step).alias(SLOT)
+    rows = df.select(SERIES, TS, *([CHUNK] if CHUNK in df.columns else []), F.col(mask).alias("_on"), slot)
     if CHUNK not in rows.columns:
         rows = rows.withColumn(CHUNK, chunk_of(SLOT, params.span))
-    w = Window.partitionBy(SERIES, CHUNK).orderBy(SLOT)
+    w = Window.partitionBy(SERIES, CHUNK).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
     off = F.when(~F.coalesce(F.col("_on"), F.lit(False)), F.col(SLOT))
     local = (
         rows.withColumn(ISLAND, F.last(off, ignorenulls=True).over(w))
@@ -66,11 +66,12 @@ def _runs(df: DataFrame, mask: str, params: Params) -> DataFrame:
     )
     edge = (F.pmod("_a", F.lit(params.span)) == 0) | (F.pmod("_b", F.lit(params.span)) == params.span - 1)
     across = Window.partitionBy(SERIES, "_home").orderBy("_a")
+    upto = across.rowsBetween(Window.unboundedPreceding, 0)
     joined = local.withColumn("_home", F.when(~edge, F.col(CHUNK))).withColumn(
         "_opens", F.when(F.coalesce(F.lag("_b").over(across) + 1 != F.col("_a"), F.lit(True)), F.col("_a"))
     )
     return (
-        joined.withColumn(ISLAND, F.last("_opens", ignorenulls=True).over(across))
+        joined.withColumn(ISLAND, F.last("_opens", ignorenulls=True).over(upto))
         .groupBy(SERIES, "_home", ISLAND)
         .agg(F.min("_from").alias("start"), F.max("_to").alias("end"))
         .drop("_home")

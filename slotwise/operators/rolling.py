@@ -41,7 +41,10 @@ def rolling_median(value: str, w: WindowSpec, before: int, after: int, min_count
 
 
 def smooth_centered(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFrame:
-    """Replace each sensor by its centred rolling median over the smoothing window."""
+    """Replace each sensor by its centred rolling median over the smoothing window.
+
+    The rows keep their placement: ``chunk`` and ``slot`` stay, for steps that go on from there.
+    """
     win = params.slots(params.smooth_min)
     before, after = median_reach(win, center=True)
 
@@ -49,7 +52,7 @@ def smooth_centered(df: DataFrame, sensors: Sequence[str], params: Params) -> Da
         return rows.withColumns({c: rolling_median(c, w, before, after, max(1, win // 2)) for c in sensors})
 
     rows = df.withColumn(SLOT, slot_of(TS, params.step))
-    return over_chunks(rows, [SERIES], SLOT, params.span, build, before, after).drop(SLOT)
+    return over_chunks(rows, [SERIES], SLOT, params.span, build, before, after)
 
 
 def feature_names(sensors: Sequence[str], params: Params) -> list[str]:

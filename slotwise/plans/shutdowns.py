@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import CHUNK
-from slotwise.operators.grid import regular_grid
+from slotwise.operators.grid import SLOT, regular_grid
 from slotwise.operators.periods import at_least, mask_to_periods
 from slotwise.operators.profile import lowest_decile
 from slotwise.operators.rolling import all_below, most_below, smooth_centered
@@ -25,7 +25,7 @@ def shutdown_mask(
     target: str | None = None,
     combine: str = "all",
 ) -> DataFrame:
-    """``(series_id, ts, off)`` before the minimum duration.
+    """``(series_id, ts, off)`` before the minimum duration, with ``chunk`` and ``slot`` where known.
 
     ``limits`` maps sensors to their upper limit; sensors that the grid lacks are ignored. With
     none left the lowest decile of ``target`` counts as off.
@@ -37,7 +37,7 @@ def shutdown_mask(
         return lowest_decile(smooth_centered(grid, [target], params), target, name=OFF).select(SERIES, TS, OFF)
     smooth = smooth_centered(grid.select(SERIES, TS, *known), list(known), params)
     rule = {"all": all_below, "majority": most_below}[combine]
-    return smooth.select(SERIES, TS, CHUNK, rule(known).alias(OFF))
+    return smooth.select(SERIES, TS, CHUNK, SLOT, rule(known).alias(OFF))
 
 
 def shutdown_periods(
