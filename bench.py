@@ -18,7 +18,8 @@ HEADLINE = (
     "resample_mean", "dense_grid", "gap_interpolate", "describe_sensors", "correlation_matrix", "shutdown_periods",
     "merge_periods", "slots_in_periods", "rolling_features", "features_between_shutdowns", "mad_anomaly_periods",
     "period_attributes", "standardize", "operating_states", "contextual_anomalies", "backtest_metrics",
-    "forecast_arima", "forecast_gbt", "stream_resample",
+    "forecast_arima", "forecast_gbt", "stream_resample", "long_series_grid", "long_series_shutdowns",
+    "long_series_profile", "long_series_outliers", "long_series_states",
 )
 
 

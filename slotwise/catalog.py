@@ -29,6 +29,7 @@ DAILY = P.with_(step_min=1440, horizon_min=1440, season_min=7 * 1440)
 SENSORS, TARGET = list(tables.SENSORS), tables.TARGET
 LIMIT = 55.0
 LIMITS = {c: LIMIT for c in SENSORS}
+LONG_LIMITS = {"quantity": 25.0, "price": 35_000.0}
 FEW_LIMITS = {c: 60.0 for c in SENSORS}
 PARETO_EDGES = (45.0, 60.0, 90.0)
 LATENESS = "30 minutes"
@@ -423,6 +424,39 @@ def forecast_arima(spark, folder):
     return forecasts.complete(fitted.arima_forecasts(rows, TARGET, HOURLY))
 
 
+# --- one long series
+
+
+def long_grid(spark: SparkSession, folder: str) -> DataFrame:
+    return grid.regular_grid(tables.long_series(spark, folder), tables.LONG_SENSORS, P)
+
+
+def long_series_grid(spark, folder):
+    return round_doubles(long_grid(spark, folder).drop("chunk"), 4)
+
+
+def long_series_shutdowns(spark, folder):
+    return round_doubles(shutdown_plan.shutdown_periods(tables.long_series(spark, folder), LONG_LIMITS, P))
+
+
+def long_series_profile(spark, folder):
+    rows = stage(long_grid(spark, folder))
+    clipped_rows = profile.mad_clip(rows, tables.LONG_SENSORS, P)
+    return round_doubles(profile.describe(clipped_rows, tables.LONG_SENSORS), 4)
+
+
+def long_series_outliers(spark, folder):
+    return round_doubles(anomaly_plan.mad_periods(long_grid(spark, folder), "quantity", P))
+
+
+def long_series_states(spark, folder):
+    """States of the whole series: exclusion of shutdowns, features, sweep and labels."""
+    rows = stage(long_grid(spark, folder))
+    down = shutdown_plan.shutdowns_on_grid(rows, LONG_LIMITS, P)
+    found = state_plan.operating_states(rows, tables.LONG_SENSORS, P.with_(n_init=1), shutdowns=down)
+    return state_plan.full_timeline(rows, found)
+
+
 # --- streaming
 
 
@@ -450,7 +484,8 @@ _QUERIES = (
     anomaly_lead_time, kmeans_sweep, operating_states, cluster_summary, pca_scatter, state_isolation_forest,
     contextual_anomalies, asof_last_value, walk_forward_origins, walk_forward_origins_late, seasonality_test,
     ar1_expanding, forecast_naive, forecast_seasonal_naive, forecast_union, backtest_metrics, best_model,
-    forecast_tail, forecast_gbt, forecast_arima, stream_resample,
+    forecast_tail, forecast_gbt, forecast_arima, long_series_grid, long_series_shutdowns, long_series_profile,
+    long_series_outliers, long_series_states, stream_resample,
 )
 
 

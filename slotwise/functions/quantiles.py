@@ -50,23 +50,28 @@ def group_quantiles(
     spread = list(spread or [value])
     narrow = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, value, *spread]))
     rows = attach(narrow, brackets, keys, spread)
+    # Cuts ascend in pairs: past _a lower and _b upper ends means inside bracket _b if _a > _b.
+    v, count = f"`{value}`", range(len(probs))
+    started = " + ".join(f"int({v} >= get(_cuts, {2 * i}))" for i in count)
+    ended = " + ".join(f"int({v} > get(_cuts, {2 * i + 1}))" for i in count)
+    lo, hi = "get(_cuts, 2 * _b)", "get(_cuts, 2 * _b + 1)"
+    inner = f"least({CELLS - 1}, coalesce(int(floor((_v - {lo}) / nullif({hi} - {lo}, 0D) * {CELLS})), 0))"
+    # Cells ascend with the value: bracket i owns (2i + 1) * CELLS and on, what lies before it
+    # 2i * CELLS. Cell -1 holds a small group whole.
+    cell = f"case when _cuts is null then -1 when _a > _b then (2 * _b + 1) * {CELLS} + {inner} else 2 * _b * {CELLS} end"
     histogram = (
-        rows.selectExpr(*keys, "n", f"{_place(value, len(probs))} as _cell", f"`{value}` as _v")
-        # Even cells lie between brackets; cell -1 holds a small group whole.
-        .selectExpr(*keys, "n", "_cell", f"_cell >= 0 and _cell % {2 * CELLS} < {CELLS} as _counted", "_v")
-        .selectExpr(*keys, "n", "_cell", "_counted", "case when not _counted then _v end as _at")
-        .groupBy(*keys, "n", "_cell", "_counted", "_at")
+        rows.selectExpr(*keys, "n", "_cuts", f"{v} as _v", f"{started} as _a", f"{ended} as _b")
+        .selectExpr(*keys, "n", f"{cell} as _cell", "case when _cuts is null or _a > _b then _v end as _at")
+        .groupBy(*keys, "n", "_cell", "_at")
         .agg(F.count(F.lit(1)).alias("_m"))
     )
     cells = histogram.groupBy(*keys, "_cell").agg(F.sum("_m").alias("_m"))
     upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.select(*keys, "_cell", F.coalesce(F.sum("_m").over(upto), F.lit(0)).alias("_before"))
+    # Counted rows have a cell of their own and no value. They stay in: a filter on what makes
+    # them so would only keep the two readers of the histogram from sharing it.
     w = Window.partitionBy(*keys, "_cell").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        histogram.filter("not _counted")
-        .join(starts, [*keys, "_cell"])
-        .withColumn("_upto", F.col("_before") + F.sum("_m").over(w))
-    )
+    ranked = histogram.join(starts, [*keys, "_cell"], "left").withColumn("_upto", F.col("_before") + F.sum("_m").over(w))
     picks = [
         F.expr(f"max(case when _upto > {rank} and _upto - _m <= {rank} then _at end)").alias(f"_{side}{i}")
         for i, p in enumerate(probs)
@@ -84,17 +89,3 @@ def group_quantiles(
         return found
     return figures.drop("_cuts").join(found.drop("n"), keys, "left")
 
-
-def _place(value: str, brackets: int) -> str:
-    """Number of the cell a value falls into; cells ascend with the value.
-
-    Bracket i (from 0) owns cells (2i+1) * CELLS onwards, what lies after it cell (2i+2) * CELLS.
-    """
-    v = f"`{value}`"
-    cases = ["when _cuts is null then -1"]
-    for i in range(brackets):
-        lo, hi = f"_cuts[{2 * i}]", f"_cuts[{2 * i + 1}]"
-        inner = f"least({CELLS - 1}, cast(floor(({v} - {lo}) / nullif({hi} - {lo}, 0D) * {CELLS}) as int))"
-        cases.append(f"when {v} < {lo} then {2 * i * CELLS}")
-        cases.append(f"when {v} <= {hi} then {(2 * i + 1) * CELLS} + coalesce({inner}, 0)")
-    return f"case {' '.join(cases)} else {2 * brackets * CELLS} end"

@@ -33,11 +33,13 @@ def rolling_median(value: str, w: WindowSpec, before: int, after: int, min_count
     cells = [F.lag(value, i).over(w) for i in range(before, 0, -1)]
     cells.append(F.col(value))
     cells += [F.lead(value, i).over(w) for i in range(1, after + 1)]
-    ordered = F.array_sort(F.array_compact(F.array(*cells)))
-    n = F.size(ordered)
-    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(n / 2).cast("int"))
-    return F.when(n >= min_count, low + (high - low) * 0.5)
+    # Nulls sort first, so the n values are the last n of the array; no lambda, no codegen break.
+    ordered = F.sort_array(F.array(*cells))
+    n = reduce(lambda a, b: a + b, [c.isNotNull().cast("int") for c in cells])
+    skipped = F.lit(len(cells)) - n
+    low = F.get(ordered, skipped + F.floor((n - 1) / 2).cast("int"))
+    high = F.get(ordered, skipped + F.floor(n / 2).cast("int"))
+    return F.when(n >= max(1, min_count), low + (high - low) * 0.5)
 
 
 def smooth_centered(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFrame:

@@ -6,7 +6,7 @@ lookups, which are fine for a check on small tables.
 
 from __future__ import annotations
 
-from slotwise.sources.tables import EMBEDDING_SIZE, SENSORS, TARGET
+from slotwise.sources.tables import EMBEDDING_SIZE, LONG_SENSORS, SENSORS, TARGET
 
 STEP = 300
 FILL = 12
@@ -73,6 +73,13 @@ GRID = grid_ctes()
 W = "PARTITION BY series_id ORDER BY slot"
 
 
+LONG_RAW = (
+    "raw AS (SELECT 0::BIGINT AS series_id, l_shipdate + ((l_orderkey * 7 + l_linenumber * 13) % 288) * INTERVAL 5 MINUTE AS ts,"
+    " l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax FROM lineitem)"
+)
+LONG_GRID = grid_ctes(LONG_RAW, LONG_SENSORS)
+
+
 def median_cte(source: str = "grid", sensors=SENSORS) -> str:
     frame = f"OVER ({W} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)"
     cells = ", ".join(f"CASE WHEN count({c}) {frame} >= 2 THEN median({c}) {frame} END AS {c}" for c in sensors)
@@ -126,32 +133,42 @@ def features(source: str, sensors) -> str:
     return f"features AS (SELECT * FROM (SELECT series_id, slot, ts, {cells} FROM {source}) WHERE NOT ({some_null}))"
 
 
-MAD_Z = [
-    f"med AS (SELECT series_id, slot, ts, {TARGET}, CASE WHEN count({TARGET}) OVER f >= 1 THEN median({TARGET}) OVER f END"
-    f" AS med FROM grid WINDOW f AS ({W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))",
-    f"dev AS (SELECT *, abs({TARGET} - med) AS dev FROM med)",
-    f"mads AS (SELECT * EXCLUDE dev, nullif(median(dev) OVER ({W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 0) AS mad"
-    " FROM dev)",
-    f"scored AS (SELECT *, abs(({TARGET} - med) / mad) AS z FROM mads)",
-    "flags AS (SELECT *, coalesce(z > 6, false) AS mad_flag FROM scored)",
-]
+def mad_z_ctes(target: str = TARGET) -> list[str]:
+    return [
+        f"med AS (SELECT series_id, slot, ts, {target}, CASE WHEN count({target}) OVER f >= 1 THEN median({target}) OVER f END"
+        f" AS med FROM grid WINDOW f AS ({W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))",
+        f"dev AS (SELECT *, abs({target} - med) AS dev FROM med)",
+        f"mads AS (SELECT * EXCLUDE dev, nullif(median(dev) OVER ({W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 0) AS mad"
+        " FROM dev)",
+        f"scored AS (SELECT *, abs(({target} - med) / mad) AS z FROM mads)",
+        "flags AS (SELECT *, coalesce(z > 6, false) AS mad_flag FROM scored)",
+    ]
 
-CLIP = [
-    *GRID,
-    "cells AS (UNPIVOT (SELECT series_id, " + WIDE + " FROM grid) ON " + WIDE + " INTO NAME sensor VALUE v)",
-    "medians AS (SELECT series_id, sensor, quantile_cont(v, 0.5) AS med FROM cells GROUP BY ALL)",
-    "limits AS (SELECT series_id, sensor, any_value(med) AS med, nullif(quantile_cont(abs(v - med), 0.5), 0) AS mad"
-    " FROM cells JOIN medians USING (series_id, sensor) GROUP BY ALL)",
-    "clipped AS (SELECT g.series_id, g.slot, g.ts, "
-    + ", ".join(
-        f"CASE WHEN g.{c} IS NULL THEN NULL WHEN l_{c}.mad IS NULL THEN g.{c} ELSE least(greatest(g.{c},"
-        f" l_{c}.med - 5.0 * l_{c}.mad), l_{c}.med + 5.0 * l_{c}.mad) END AS {c}"
-        for c in SENSORS
-    )
-    + " FROM grid g "
-    + " ".join(f"LEFT JOIN limits l_{c} ON l_{c}.series_id = g.series_id AND l_{c}.sensor = '{c}'" for c in SENSORS)
-    + ")",
-]
+
+MAD_Z = mad_z_ctes()
+
+
+def clip_ctes(sensors=SENSORS) -> list[str]:
+    wide = ", ".join(sensors)
+    return [
+        f"cells AS (UNPIVOT (SELECT series_id, {wide} FROM grid) ON {wide} INTO NAME sensor VALUE v)",
+        "medians AS (SELECT series_id, sensor, quantile_cont(v, 0.5) AS med FROM cells GROUP BY ALL)",
+        "limits AS (SELECT series_id, sensor, any_value(med) AS med, nullif(quantile_cont(abs(v - med), 0.5), 0) AS mad"
+        " FROM cells JOIN medians USING (series_id, sensor) GROUP BY ALL)",
+        "clipped AS (SELECT g.series_id, g.slot, g.ts, "
+        + ", ".join(
+            f"CASE WHEN g.{c} IS NULL THEN NULL WHEN l_{c}.mad IS NULL THEN g.{c} ELSE least(greatest(g.{c},"
+            f" l_{c}.med - 5.0 * l_{c}.mad), l_{c}.med + 5.0 * l_{c}.mad) END AS {c}"
+            for c in sensors
+        )
+        + " FROM grid g "
+        + " ".join(f"LEFT JOIN limits l_{c} ON l_{c}.series_id = g.series_id AND l_{c}.sensor = '{c}'" for c in sensors)
+        + ")",
+        f"long AS (UNPIVOT (SELECT series_id, {wide} FROM clipped) ON {wide} INTO NAME sensor VALUE v)",
+    ]
+
+
+CLIP = [*GRID, *clip_ctes()]
 PROBS = ((0.01, "p01"), (0.05, "p05"), (0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.95, "p95"), (0.99, "p99"))
 
 
@@ -260,9 +277,7 @@ def oracle_sql() -> dict[str, str]:
 
     clip = with_(*CLIP)
     sql["mad_clip"] = clip + f"SELECT series_id, ts, {wide} FROM clipped"
-    sql["describe_sensors"] = with_(
-        *CLIP, f"long AS (UNPIVOT (SELECT series_id, {WIDE} FROM clipped) ON {WIDE} INTO NAME sensor VALUE v)"
-    ) + describe("long")
+    sql["describe_sensors"] = clip + describe("long")
     sql["describe_orders"] = with_(
         "long AS (SELECT o_orderpriority AS series_id, 'price' AS sensor, o_totalprice AS v FROM orders)"
     ) + describe("long", 4)
@@ -422,6 +437,16 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT series_id, origin, ts, d.model, {both4} FROM done d JOIN best b USING (series_id) WHERE d.model = b.model"
         " QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 288"
     )
+    sql["long_series_grid"] = with_(*LONG_GRID) + f"SELECT series_id, ts, {rounded(LONG_SENSORS, 4)} FROM grid"
+    sql["long_series_shutdowns"] = with_(
+        *LONG_GRID, median_cte(sensors=("quantity", "price")),
+        "masked AS (SELECT series_id, slot, ts, coalesce(quantity <= 25, false) AND coalesce(price <= 35000, false) AS \"off\" FROM smooth)",
+        *island_ctes("masked", '"off"', "runs"),
+    ) + f"SELECT {PERIOD}, 'below_thresholds' AS reason FROM runs WHERE duration_min >= 30"
+    sql["long_series_profile"] = with_(*LONG_GRID, *clip_ctes(LONG_SENSORS)) + describe("long", 4)
+    sql["long_series_outliers"] = with_(
+        *LONG_GRID, *mad_z_ctes("quantity"), *island_ctes("flags", "mad_flag", "odd")
+    ) + f"SELECT {PERIOD} FROM odd"
     sql["stream_resample"] = g + (
         f"SELECT series_id, TIMESTAMP '1970-01-01' + slot * INTERVAL {STEP} SECOND AS ts, {wide} FROM slots"
         f" WHERE TIMESTAMP '1970-01-01' + (slot + 1) * INTERVAL {STEP} SECOND <="

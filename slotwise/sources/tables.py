@@ -11,6 +11,7 @@ SENSORS = ("click", "error", "purchase", "signup", "view")
 TARGET = "click"
 SERIES_COUNT = 4
 MEASURES = ("price", "quantity")
+LONG_SENSORS = ("quantity", "price", "discount", "tax")
 EMBEDDING_SIZE = 64
 
 
@@ -35,6 +36,18 @@ def shipments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def long_series(spark: SparkSession, folder: str) -> DataFrame:
+    """lineitem as one series of some 720,000 five-minute slots: lines spread over their ship day."""
+    return table(spark, folder, "lineitem").select(
+        F.lit(0).cast("bigint").alias(SERIES),
+        F.expr(
+            "l_shipdate + make_dt_interval(0, 0, cast(pmod(l_orderkey * 7 + l_linenumber * 13, 288) as int) * 5)"
+        ).alias(TS),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
+    )
+
+
 def order_values(spark: SparkSession, folder: str) -> DataFrame:
     """orders: one series per priority, readings by order date."""
     return table(spark, folder, "orders").select(
