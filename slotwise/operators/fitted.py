@@ -21,7 +21,7 @@ from slotwise.functions.timeslots import slot_start
 from slotwise.operators.forecasts import FORECAST_COLUMNS, target_slots, walk_forward_origins
 from slotwise.operators.grid import SLOT
 from slotwise.params import DAY_SECONDS, SERIES, TS, Params
-from slotwise.sources.staging import stage, stage_in_place
+from slotwise.sources.staging import place, stage, stage_in_place
 
 # The helpers below travel with the tasks, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -58,14 +58,14 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
     lagged = stage(lag_rows(grid, target, params))
     origins = walk_forward_origins(lagged, params)
     complete = lagged.na.drop(subset=["y", "y_true", *lags])
-    partitions = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = params.horizon * params.step
 
     def fold(cutoff: dt.datetime) -> DataFrame | None:
         stop = cutoff + dt.timedelta(days=params.gbt_refit_days)
         seen = F.lit(cutoff - dt.timedelta(seconds=reach)).cast("timestamp_ntz")
         train = complete.filter(F.col(TS) <= seen)
-        if train.limit(params.min_train_rows).count() < params.min_train_rows:
+        rows = train.count()
+        if rows < params.min_train_rows:
             return None
         scale = train.groupBy(SERIES).agg(
             F.avg("y").alias("_m"), F.coalesce(F.nullif(F.stddev_pop("y"), F.lit(0.0)), F.lit(1.0)).alias("_d")
@@ -81,7 +81,7 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
 
         learn = scaled(train).select(SERIES, TS, "features", "label")
         # Fixed placement makes the seeded fit repeatable; the fit reads it once per tree level.
-        learn = stage_in_place(learn.repartition(partitions, SERIES, TS).sortWithinPartitions(SERIES, TS))
+        learn = stage_in_place(place(learn, [SERIES, TS], rows))
         model = GBTRegressor(
             maxIter=params.gbt_trees, stepSize=params.gbt_rate, maxDepth=params.gbt_depth, seed=params.seed
         ).fit(learn)

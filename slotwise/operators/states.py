@@ -16,6 +16,7 @@ from slotwise.functions.chunks import attach
 from slotwise.functions.fits import side_by_side
 from slotwise.operators.profile import describe
 from slotwise.params import SERIES, TS, Params
+from slotwise.sources.staging import place
 
 CLUSTER = "cluster"
 FEATURES = "features"
@@ -33,12 +34,12 @@ def standardize(
     return rows.withColumns({c: F.expr(f"(`{c}` - `_m_{c}`) / `_d_{c}`") for c in columns}).select(*df.columns)
 
 
-def to_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (SERIES, TS)) -> DataFrame:
-    """One vector column. Rows are placed and ordered by their key, so that a fit with a seed
-    does not depend on how the input was partitioned."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def to_vectors(
+    df: DataFrame, columns: Sequence[str], rows: int, keep: Sequence[str] = (SERIES, TS)
+) -> DataFrame:
+    """One vector column, placed by key for a fit; ``rows`` is the number of rows."""
     vectors = VectorAssembler(inputCols=list(columns), outputCol=FEATURES).transform(df)
-    return vectors.select(*keep, FEATURES).repartition(partitions, *keep).sortWithinPartitions(*keep)
+    return place(vectors.select(*keep, FEATURES), keep, rows)
 
 
 @dataclass(frozen=True)

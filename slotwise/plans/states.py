@@ -32,7 +32,8 @@ def operating_states(
     running = stage(exclude_periods(grid, shutdowns, params)) if shutdowns is not None else grid
     features = rolling_features(running, sensors, params, compacted=shutdowns is not None)
     names = feature_names(sensors, params)
-    vectors = stage_in_place(to_vectors(standardize(stage(features), names), names))
+    features = stage(features)
+    vectors = stage_in_place(to_vectors(standardize(features, names), names, features.count()))
     sweep = kmeans_sweep(vectors, params)
     labels = state_names(sweep.label(vectors).drop(FEATURES))
     return States(

@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows per partition below which spreading a fit further only adds tasks.
+PLACED_ROWS = 10_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -32,6 +36,15 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Hash the rows over partitions and order them there, both by their key, so that a seeded fit
+    does not depend on how its input was partitioned. Few rows get few partitions: a fit is many
+    short jobs over them."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, min(most, -(-rows // PLACED_ROWS)))
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
 def stage_in_place(df: DataFrame) -> DataFrame:
     """Checkpoint with partitions and row order kept, for fits whose result depends on them."""
     context = df.sparkSession.sparkContext

@@ -41,7 +41,7 @@ def found(regimes):
 
 @pytest.fixture(scope="module")
 def placed(regimes):
-    return stage_in_place(states.to_vectors(states.standardize(regimes, ["a", "b"]), ["a", "b"]))
+    return stage_in_place(states.to_vectors(states.standardize(regimes, ["a", "b"]), ["a", "b"], 40_000))
 
 
 def test_standardized_columns(spark, regimes):
@@ -84,7 +84,7 @@ def test_scatter_axes(found):
 
 def test_sweep_does_not_depend_on_input_partitions(regimes, placed):
     other = states.standardize(regimes.repartition(7), ["a", "b"])
-    again = stage_in_place(states.to_vectors(other.coalesce(1), ["a", "b"]))
+    again = stage_in_place(states.to_vectors(other.coalesce(1), ["a", "b"], 40_000))
     one, two = (states.kmeans_sweep(v, P.with_(kmin=3, kmax=3)) for v in (placed, again))
     assert one.curve[0][1] == pytest.approx(two.curve[0][1], rel=1e-9)
     a, b = (collected(sweep.label(v), "ts")["cluster"] for sweep, v in ((one, placed), (two, again)))
