@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pandas as pd
 import pytest
 
@@ -91,3 +93,13 @@ def test_stream_equals_batch_on_closed_slots_and_drops_late_rows(spark, tmp_path
     second = run()
     assert [(t - START).total_seconds() / 60 for t in second["ts"]] == [0, 5, 10, 30, 40]
     assert second["v"][0] == 0.5 and second["v"][3] == 33.0
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Unset(dict):
+        def get(self, key, default=None):
+            return default
+
+    context = SimpleNamespace(getConf=lambda: Unset(), master="spark://host")
+    with pytest.raises(ValueError):
+        staging.shared_folder(SimpleNamespace(sparkContext=context, conf=Unset()))
