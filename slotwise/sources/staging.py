@@ -1,12 +1,11 @@
 """Cutting lineage where several jobs, or several branches of one job, read the same rows.
 
 Staged data lies in the folder named by ``spark.checkpoint.dir``, which all executors share. Only
-a local session without that setting gets a folder of its own.
+a local session without that setting gets one, beside its warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -22,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="slotwise-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/slotwise-work"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
