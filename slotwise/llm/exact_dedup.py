@@ -4,10 +4,10 @@ Texts are equal when they are identical after deleting blanks. Of equal texts th
 code points stays, then the one with the smallest id.
 
 Only hashes are grouped. The grouping counts (hash, id, length) first, so that a group which holds a
-third of all rows is dealt over all tasks and reaches its final task as partial sums. Whole texts
-move only for groups of two and more, and there as the smallest and largest text of each map task,
-which says whether all bytes of the group agree. Groups that don't (collisions) are cut by the text
-itself. Rows find their group by a join whose large keys Spark splits at run time.
+third of all rows is dealt over all tasks and reaches its final task as partial sums. Bytes are
+compared as the smallest and the largest text of a group, taken in each map task before the shuffle:
+if they are the same, all are. Groups where they aren't (collisions) are cut by the text itself.
+Rows find their group by a join whose large keys Spark splits at run time.
 
 Defined results: a null text is empty, and empty texts are one group. A null id comes after all ids.
 Rows that repeat both id and text count each in ``group_size`` and give one output row each in
@@ -51,11 +51,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``drop_duplicates`` keep_rows (how many rows repeat the one that stays)."""
     rows = stage(_keyed(docs, id_col, text_col).select("doc_id", "n", "h", F.sha2("norm", 256).alias("text_sha256")))
     groups = stage(_groups(rows, ["h"]))
-    several = groups.where("group_size > 1").select("h")
     texts = _keyed(docs, id_col, text_col)
     mixed = stage(
-        texts.join(several, "h", "left_semi").groupBy("h")
-        .agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low != high").select("h")
+        texts.groupBy("h").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low != high").select("h")
     )
     out = rows.join(groups, "h")
     if not mixed.isEmpty():

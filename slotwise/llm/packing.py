@@ -19,7 +19,6 @@ A null doc_id is allowed. An empty table gives no pieces.
 from __future__ import annotations
 
 import base64
-import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,7 +34,7 @@ SHARD_TOKENS = 1 << 20
 # Sequences of one task; 2^40 of them per partition.
 TASK_BITS = 40
 SCHEMA = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
+    "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, cost double, ids binary"
 )
 
 
@@ -103,8 +102,8 @@ def pack(
     quadratic: float = 1.0 / 4096,
     shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
-    """Pieces of all documents: doc_id, start (ids of the document before it), length, ids_crc32 of
-    its ids as little-endian unsigned 32-bit numbers, doc_tokens, sequence_id, offset, cost."""
+    """Pieces of all documents: doc_id, start (ids of the document before it), length, doc_tokens,
+    sequence_id, offset in it, cost, and the ids as little-endian unsigned 32-bit numbers."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe(tokenizer)
@@ -115,13 +114,13 @@ def pack(
             nonlocal first
             pieces = balanced([len(x) for x in ids], capacity, linear, quadratic)
             rows = [
-                (names[d], start, n, zlib.crc32(ids[d][start : start + n]), len(ids[d]), first + s, offset,
-                 linear * n + quadratic * n * n)
+                (names[d], start, n, len(ids[d]), first + s, offset, linear * n + quadratic * n * n,
+                 ids[d][start : start + n].tobytes())
                 for d, start, n, s, offset in pieces
             ]
             first += 1 + max((s for _, _, _, s, _ in pieces), default=-1)
             columns = list(zip(*rows)) or [[]] * 8
-            kinds = [pa.int64()] * 7 + [pa.float64()]
+            kinds = [pa.int64()] * 6 + [pa.float64(), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
                 names=[f.split()[0] for f in SCHEMA.split(", ")],

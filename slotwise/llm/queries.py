@@ -5,14 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotwise.llm import exact_dedup, packing
+from slotwise.llm import exact_dedup, html, near_dedup, packing, quality, sentencepiece, topk
 from slotwise.llm.common import table
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Weak-label posterior, score and decision for every document."""
+    return quality.classify(table(spark, folder, "documents"))
+
+
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html.page_texts(table(spark, folder, "pages"))
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and whether they decode to its text."""
+    return sentencepiece.round_trip(table(spark, folder, "documents"))
+
+
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten nearest by inner product for every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return topk.exact_top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
-    return packing.pack(table(spark, folder, "documents"))
+    pieces = packing.pack(table(spark, folder, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,5 +43,14 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, folder, "documents")).drop("keep_rows")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets are 85 % alike."""
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_packing, op8_exact_dedup)}
+    listed = (
+        op1_quality_classifier, op3_html_extraction, op4_sentencepiece, op6_exact_top_k, op7_packing, op8_exact_dedup,
+        op10_minhash_near_dedup,
+    )
+    return {f.__name__: f for f in listed}

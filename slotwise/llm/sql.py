@@ -16,5 +16,22 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 """
 
 
+EXACT_TOP_K = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id != c.vec_id
+    WHERE q.vec_id % 100 = 0
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_DEDUP}
+    return {"op6_exact_top_k": EXACT_TOP_K, "op8_exact_dedup": EXACT_DEDUP}
