@@ -2,8 +2,8 @@
 
 Overlapping heuristics vote good, bad or nothing on every document. Expectation-maximisation over
 the counts of vote patterns (at most 3 to the number of heuristics, counted over all documents)
-estimates how often each heuristic votes what for good and for bad documents, and the share of good
-ones. The resulting posterior labels, as weights of both classes, train a logistic regression on
+estimates how often each heuristic's votes are right on good and on bad documents, and the share of
+good ones. The resulting posterior labels, as weights of both classes, train a logistic regression on
 hashed token shapes; that linear scorer decides.
 
 Everything runs in the JVM without a shuffle of texts. The scorer is fitted on a hash sample of about
@@ -84,14 +84,15 @@ HEURISTICS = ("symbols", "shouting", "repeats", "variety", "common_words", "sent
 
 @dataclass
 class LabelModel:
-    """P(good), and for each heuristic P(vote | class) as {class: (bad, good, nothing)}."""
+    """P(good), and for each heuristic P(vote | class, it votes) as {class: (bad, good)}. No vote says
+    nothing about the class."""
 
     prior: float = 0.5
     rates: list[dict[int, list[float]]] = field(default_factory=list)
 
     def log_odds(self, votes: tuple[int, ...]) -> float:
         return math.log(self.prior / (1 - self.prior)) + sum(
-            math.log(r[GOOD][v] / r[BAD][v]) for r, v in zip(self.rates, votes)
+            math.log(r[GOOD][v] / r[BAD][v]) for r, v in zip(self.rates, votes) if v != NOTHING
         )
 
     def accuracy(self) -> dict[str, float]:
@@ -112,7 +113,7 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, smo
     """EM on (votes, count), from the majority vote."""
     total = sum(c for _, c in patterns)
     if not total:
-        return LabelModel(0.5, [{GOOD: [1 / 3] * 3, BAD: [1 / 3] * 3} for _ in HEURISTICS])
+        return LabelModel(0.5, [{GOOD: [0.5, 0.5], BAD: [0.5, 0.5]} for _ in HEURISTICS])
     weights = []
     for votes, _ in patterns:
         good, bad = votes.count(GOOD), votes.count(BAD)
@@ -124,10 +125,11 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, smo
         size = {c: sum(w * n for w, (_, n) in zip(share[c], patterns)) for c in share}
         model = LabelModel((size[GOOD] + smooth) / (total + 2 * smooth), [])
         for h in range(len(patterns[0][0])):
-            counts = {c: [smooth] * 3 for c in share}
+            counts = {c: [smooth] * 2 for c in share}
             for c, ws in share.items():
                 for w, (votes, n) in zip(ws, patterns):
-                    counts[c][votes[h]] += w * n
+                    if votes[h] != NOTHING:
+                        counts[c][votes[h]] += w * n
             model.rates.append({c: [x / sum(v) for x in v] for c, v in counts.items()})
         weights = [_logistic(model.log_odds(v)) for v, _ in patterns]
     return model
@@ -150,9 +152,9 @@ def posterior(model: LabelModel) -> Column:
     """P(good) of a document from its votes."""
     odds = F.lit(math.log(model.prior / (1 - model.prior)))
     for h, r in zip(HEURISTICS, model.rates):
-        says = [math.log(r[GOOD][v] / r[BAD][v]) for v in (BAD, GOOD, NOTHING)]
+        says = [math.log(r[GOOD][v] / r[BAD][v]) for v in (BAD, GOOD)]
         vote = F.col(f"_v_{h}")
-        odds = odds + F.when(vote == BAD, says[0]).when(vote == GOOD, says[1]).otherwise(says[2])
+        odds = odds + F.when(vote == BAD, says[0]).when(vote == GOOD, says[1]).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -170,7 +172,7 @@ def _tokens(text: Column) -> Column:
 def _hashed(votes: DataFrame, text_col: str) -> DataFrame:
     tokens = votes.withColumn("_tokens", _tokens(text_of(text_col)))
     counted = HashingTF(numFeatures=BUCKETS, inputCol="_tokens", outputCol="_counts").transform(tokens)
-    return Normalizer(p=1.0, inputCol="_counts", outputCol="_features").transform(counted).drop("_tokens", "_counts")
+    return Normalizer(p=2.0, inputCol="_counts", outputCol="_features").transform(counted).drop("_tokens", "_counts")
 
 
 @dataclass
@@ -211,7 +213,7 @@ def train(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROW
         if kinds == 2:
             scorer = LogisticRegression(
                 featuresCol="_features", labelCol="_y", weightCol="_w", probabilityCol="_probability",
-                rawPredictionCol="_raw", predictionCol="_prediction", standardization=False, regParam=1e-5, maxIter=60,
+                rawPredictionCol="_raw", predictionCol="_prediction", standardization=False, regParam=1e-6, maxIter=100, tol=1e-8,
             ).fit(soft)
     finally:
         soft.unpersist()

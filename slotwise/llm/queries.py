@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import exact_dedup, html, near_dedup, packing, quality, sentencepiece, topk
+from slotwise.llm import exact_dedup, html, near_dedup, packing, quality, secrets, sentencepiece, suffix_dedup, topk
 from slotwise.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate string of every document with the forest's score and decision."""
+    return secrets.findings(table(spark, folder, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return html.page_texts(table(spark, folder, "pages"))
@@ -43,6 +48,11 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, folder, "documents")).drop("keep_rows")
 
 
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with what is left after removing repeated strings of 200 bytes."""
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets are 85 % alike."""
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
@@ -50,7 +60,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
-        op1_quality_classifier, op3_html_extraction, op4_sentencepiece, op6_exact_top_k, op7_packing, op8_exact_dedup,
-        op10_minhash_near_dedup,
+        op1_quality_classifier, op2_secret_scan, op3_html_extraction, op4_sentencepiece, op6_exact_top_k, op7_packing,
+        op8_exact_dedup, op9_suffix_array_dedup, op10_minhash_near_dedup,
     )
     return {f.__name__: f for f in listed}
