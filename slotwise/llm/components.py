@@ -4,7 +4,9 @@ vertex's neighbours are gathered, and the number of steps grows with the logarit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import stage
@@ -41,3 +43,47 @@ def components(edges: DataFrame, most_steps: int = 60) -> DataFrame:
         raise RuntimeError("the stars did not settle")
     # Settled: every vertex hangs on the smallest of its component.
     return now.select(F.col("b").alias("id"), F.col("a").alias("component")).union(now.select("a", "a").distinct())
+
+
+def grouped(keyed: DataFrame) -> DataFrame:
+    """Rows (key, id, ...) of keys with two ids and more, with size and least_id. Sizes are summed up
+    before the shuffle; rows of a large key are split at run time by the join."""
+    several = keyed.groupBy("key").agg(
+        F.min("id").alias("least_id"), F.max("id").alias("most_id"), F.count(F.lit(1)).alias("size")
+    ).where("least_id < most_id").drop("most_id")
+    return keyed.join(several, "key")
+
+
+def central_pairs(members: DataFrame) -> DataFrame:
+    """(a, b) of each member with the most central one of its key: the one whose keys have the most
+    members. In a family of edited copies that is the text they were made from, if it is there."""
+    weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    head = members.select("key", "id").join(weight, "id").groupBy("key").agg(
+        F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("head")
+    ).select("key", (-F.col("head.minus")).alias("head"))
+    return members.join(head, "key").where("id != head").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+
+
+def unresolved(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with their component c, of keys that have two components and more."""
+    labelled = members.where("size > 2").join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    return labelled.join(several, "key")
+
+
+def link_within(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame],
+) -> tuple[DataFrame, DataFrame]:
+    """Links and components of vertices that share a key, without all pairs of a key.
+
+    ``members`` is what ``grouped`` returns; ``verify`` takes pairs (a, b), a < b, and returns the rows of
+    those that link. First each member is tested against the most central one of its key. A key whose
+    members are in one component then is done. ``rest`` gets the members of the others, with their
+    component c, and returns all pairs of them that may still link and are in different components."""
+    links = stage(verify(stage(central_pairs(members))))
+    found = stage(components(links))
+    open_ones = stage(unresolved(members, found))
+    if open_ones.isEmpty():
+        return links, found
+    links = stage(links.unionByName(verify(stage(rest(open_ones)))))
+    return links, stage(components(links))

@@ -8,11 +8,11 @@ sketches agree in a coordinate with the chance of their sets' similarity, with c
 independent hashes. Bands of ``BAND_ROWS`` coordinates make keys; the number of bands is such that a
 pair at the threshold meets in no band with a chance of at most ``MISS``.
 
-Equal sets are one vertex from the start. In each band key the smallest vertex is tested against the
-others on the full sets; passing pairs link. Keys whose members are all in one component then are
-done. In the others, 16, 256, ... members picked by hash are tested against all members of other
-components, until a key is in one component or all its pairs between components are tested. So no
-link is lost, copies do not multiply, and nothing is capped.
+Equal sets are one vertex from the start. In each band key the most central vertex is tested against
+the others on the full sets; passing pairs link. Keys whose members are all in one component then are
+done. The members of the others are joined exactly, by prefixes of their sets in order of rarity, and
+pairs of different components that can reach the threshold are tested. So no link of a band key is
+lost, copies do not multiply, and nothing is capped.
 
 Defined results: null text is empty; empty sets link with nothing. A null id is linked with nothing
 and its component is null. Rows that repeat an id are one document: they are reachable from each
@@ -27,11 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import column_batches, stage, text_of
-from slotwise.llm.components import components
+from slotwise.llm.components import grouped, link_within
 
 BAND_ROWS = 6
 MISS = 1e-9
@@ -139,6 +139,51 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, least: int) -> DataF
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _items(texts: DataFrame, words: int) -> DataFrame:
+    """(id, n, item) of every element of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for ids, bodies in column_batches(batches, ("doc_id", "text")):
+            for first in range(0, len(ids), 512):
+                sets = [shingles(t, words, known) for t in bodies[first : first + 512]]
+                sizes = [len(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(np.array(ids[first : first + 512], np.int64), sizes)),
+                        pa.array(np.repeat(np.array(sizes, np.int64), sizes)),
+                        pa.array(np.concatenate(sets).view(np.int64)),
+                    ],
+                    names=["id", "n", "item"],
+                )
+
+    return texts.mapInArrow(run, "id long, n long, item long")
+
+
+def _prefix_pairs(rest: DataFrame, texts: DataFrame, words: int, least: int) -> DataFrame:
+    """All pairs of different components that can reach the threshold, by prefixes.
+
+    Elements are put in order of rarity. Sets at the threshold must share one of the first
+    n - ceil(least * n / 100) + 1, and behind the first shared one both must have enough left. Edited
+    copies start with what only they have, so those with too many edits meet nobody."""
+    vertices = rest.select("id", "c").distinct()
+    items = stage(
+        _items(texts.join(vertices.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), words).distinct()
+    )
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("id", "n").orderBy("df", "item")
+    placed = items.join(counts, "item").withColumn("at", F.row_number().over(order)).where(
+        (F.col("df") > 1) & (F.col("at") <= F.col("n") - F.ceil(F.col("n") * least / 100) + 1)
+    ).join(vertices, "id").select("item", "id", "n", "at", "c")
+    placed = stage(placed)
+    other = placed.select("item", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "at", "c")])
+    left = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b")) + 1
+    enough = left * (100 + least) >= least * (F.col("n") + F.col("n_b"))
+    return placed.join(other, "item").where(
+        (F.col("id") < F.col("id_b")) & (F.col("c") != F.col("c_b")) & enough
+    ).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 3, least: int = 85, band_rows: int = BAND_ROWS, miss: float = MISS
 ) -> DataFrame:
@@ -151,42 +196,11 @@ def near_duplicates(
         rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
         .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     )
-    keyed = sets.select("id", "n", F.explode("keys").alias("key"))
-    several = keyed.groupBy("key").agg(
-        F.min("id").alias("least_id"), F.max("id").alias("most_id"), F.count(F.lit(1)).alias("size")
-    ).where("least_id < most_id").drop("most_id")
-    members = stage(keyed.join(several, "key"))
+    members = stage(grouped(sets.select("id", F.explode("keys").alias("key"))))
     texts = stage(plain.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-    alike = (100 * F.least("n", "n_b") >= least * F.greatest("n", "n_b"))
-
-    # Round one: every member against the smallest of its key.
-    heads = members.where("id = least_id").select("key", F.col("n").alias("n_b"))
-    pairs = members.where("id != least_id").join(heads, "key").where(alike).select(
-        F.col("least_id").alias("a"), F.col("id").alias("b")
-    ).distinct()
-    links = stage(_linked(stage(pairs), texts, words, least))
-    found = stage(components(links))
-
-    picked = 16
-    while True:
-        labelled = members.where(F.col("size") > 2).join(found, "id", "left").select(
-            "key", "id", "n", "size", F.coalesce("component", "id").alias("c")
-        )
-        open_keys = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-        # Keys of which all members were picked before have no untested pair between components.
-        rest = stage(labelled.where(F.col("size") > (picked // 16 if picked > 16 else 2)).join(open_keys, "key"))
-        if rest.isEmpty():
-            break
-        chance = (F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))) * F.col("size")
-        heads = rest.where(chance < (F.lit(float(picked)))).select(
-            "key", F.col("id").alias("head"), F.col("n").alias("n_b"), F.col("c").alias("c_b")
-        )
-        pairs = rest.join(heads, "key").where(alike & (F.col("c") != F.col("c_b"))).select(
-            F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")
-        ).distinct()
-        links = stage(links.unionByName(_linked(stage(pairs), texts, words, least)))
-        found = stage(components(links))
-        picked *= 16
+    _, found = link_within(
+        members, lambda pairs: _linked(pairs, texts, words, least), lambda rest: _prefix_pairs(rest, texts, words, least)
+    )
 
     groups = sets.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     full = rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "digest").join(groups, "digest").select(

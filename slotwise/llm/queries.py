@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import exact_dedup, html, near_dedup, packing, quality, secrets, sentencepiece, suffix_dedup, topk
+from slotwise.llm import exact_dedup, html, near_dedup, packing, passages, quality, secrets, sentencepiece, suffix_dedup, topk
 from slotwise.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.round_trip(table(spark, folder, "documents"))
 
 
+def op5_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its class by near-duplicate passages of 50 words, and these passages."""
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """Ten nearest by inner product for every hundredth vector."""
     vectors = table(spark, folder, "embeddings")
@@ -60,7 +65,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
-        op1_quality_classifier, op2_secret_scan, op3_html_extraction, op4_sentencepiece, op6_exact_top_k, op7_packing,
-        op8_exact_dedup, op9_suffix_array_dedup, op10_minhash_near_dedup,
+        op1_quality_classifier, op2_secret_scan, op3_html_extraction, op4_sentencepiece, op5_passage_dedup, op6_exact_top_k,
+        op7_packing, op8_exact_dedup, op9_suffix_array_dedup, op10_minhash_near_dedup,
     )
     return {f.__name__: f for f in listed}
