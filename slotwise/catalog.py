@@ -23,7 +23,7 @@ P = Params()
 # The same row counts on a one-hour grid, for tables with few readings per hour.
 HOURLY = P.with_(
     step_min=60, fill_min=720, smooth_min=240, min_duration_min=120.0, feature_windows_min=(180, 360, 720),
-    horizon_min=60, lags_min=720,
+    horizon_min=720, lags_min=2160,
 )
 DAILY = P.with_(step_min=1440, horizon_min=1440, season_min=7 * 1440)
 SENSORS, TARGET = list(tables.SENSORS), tables.TARGET
@@ -59,13 +59,12 @@ def found_shutdowns(spark: SparkSession, folder: str) -> DataFrame:
     return shutdown_plan.shutdown_periods(tables.telemetry(spark, folder), LIMITS, P)
 
 
-def event_spans(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """Each event of a kind as a period of ``value`` whole minutes; such periods overlap."""
-    events = tables.table(spark, folder, "events").filter(F.col("event_type") == kind)
-    return events.select(
+def event_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Each event as a period of a tenth of ``value`` whole minutes; such periods overlap."""
+    return tables.table(spark, folder, "events").select(
         (F.col("user_id") % tables.SERIES_COUNT).alias(SERIES),
         F.col(TS).alias("start"),
-        F.expr(f"{TS} + make_dt_interval(0, 0, cast(floor(value) as int), 0)").alias("end"),
+        F.expr(f"{TS} + make_dt_interval(0, 0, cast(floor(value / 10) as int), 0)").alias("end"),
     )
 
 
@@ -129,12 +128,13 @@ def resample_daily(spark, folder):
 
 
 def week_view(spark, folder):
-    view = grid.range_view(base(spark, folder), 7, P)
+    view = grid.range_view(profile.mad_clip(base(spark, folder), [TARGET], P), 7, P)
     return round_doubles(view.select(SERIES, TS, TARGET))
 
 
 def year_view(spark, folder):
-    return round_doubles(grid.range_view(daily(spark, folder), 365, DAILY).drop("chunk"), 4)
+    rows = profile.mad_clip(stage(daily(spark, folder)), tables.MEASURES, DAILY)
+    return round_doubles(grid.range_view(rows, 365, DAILY).drop("chunk"), 4)
 
 
 def backtest_slice(spark, folder):
@@ -165,11 +165,13 @@ def describe_orders(spark, folder):
 
 
 def correlation_matrix(spark, folder):
-    return round_doubles(profile.correlations(clipped(spark, folder), SENSORS))
+    # A stuck sensor correlates with nothing.
+    rows = clipped(spark, folder).withColumn("stuck", F.lit(1.5))
+    return round_doubles(profile.correlations(rows, [*SENSORS, "stuck"]))
 
 
 def decile_fallback_mask(spark, folder):
-    return profile.lowest_decile(base(spark, folder), TARGET).select(SERIES, TS, "off")
+    return shutdown_plan.shutdown_mask(base(spark, folder), {}, P, target=TARGET)
 
 
 # --- shutdowns and periods
@@ -201,12 +203,12 @@ def downtime_pareto(spark, folder):
 
 
 def merge_periods(spark, folder):
-    return round_doubles(periods.merge_periods(event_spans(spark, folder, "purchase")))
+    return round_doubles(periods.merge_periods(event_spans(spark, folder)))
 
 
 def slots_in_periods(spark, folder):
     rows = grid.dense_grid(tables.telemetry(spark, folder), SENSORS, P).select(SERIES, TS)
-    return periods.mark_periods(rows, event_spans(spark, folder, "signup"), P).drop("chunk")
+    return periods.mark_periods(rows, event_spans(spark, folder), P).drop("chunk")
 
 
 def exclude_shutdowns(spark, folder):
@@ -225,7 +227,7 @@ def rolling_features(spark, folder):
 def features_between_shutdowns(spark, folder):
     rows = base(spark, folder)
     running = periods.exclude_periods(rows, shutdown_plan.shutdowns_on_grid(rows, LIMITS, P), P)
-    return round_doubles(rolling.rolling_features(running, [TARGET, "view"], P, compacted=True))
+    return round_doubles(rolling.rolling_features(running, SENSORS, P, compacted=True))
 
 
 def rolling_mad_z(spark, folder):
@@ -289,7 +291,8 @@ def centroid_assign(spark, folder):
     points = tables.vectors(spark, folder)
     dims = [f"x{i}" for i in range(tables.EMBEDDING_SIZE)]
     means = points.groupBy("label").agg(*[F.avg(c).alias(c) for c in dims])
-    centres = {r["label"]: [r[c] for c in dims] for r in means.collect()}  # one row per label
+    most = 1_000_000 // len(dims)  # what nearest_centroid takes; one row more tells that there are more
+    centres = {r["label"]: [r[c] for c in dims] for r in means.limit(most + 1).collect()}
     found = states.nearest_centroid(points, dims, centres)
     return round_doubles(found.select("vec_id", states.CLUSTER, "distance"), 5)
 
@@ -405,13 +408,12 @@ def best_model(spark, folder):
 
 
 def forecast_tail(spark, folder):
-    return round_doubles(forecasts.best_forecast_tail(window_forecasts(spark, folder), P, days=1), 4)
+    return round_doubles(forecasts.best_forecast_tail(window_forecasts(spark, folder), P), 4)
 
 
 def forecast_gbt(spark, folder):
     rows = stage(grid.trailing_slice(filled(spark, folder, HOURLY), HOURLY))
-    params = HOURLY.with_(gbt_refit_days=14)
-    found = fitted.boosted_tree_forecasts(rows, TARGET, params)
+    found = fitted.boosted_tree_forecasts(rows, TARGET, HOURLY)
     if found is None:
         return spark.createDataFrame(
             [], f"{SERIES} bigint, origin timestamp_ntz, {TS} timestamp_ntz, model string, y_true double, y_pred double"
@@ -420,8 +422,17 @@ def forecast_gbt(spark, folder):
 
 
 def forecast_arima(spark, folder):
-    rows = stage(grid.trailing_slice(filled(spark, folder, HOURLY), HOURLY))
-    return forecasts.complete(fitted.arima_forecasts(rows, TARGET, HOURLY))
+    return forecasts.complete(fitted.arima_forecasts(recent(spark, folder), TARGET, P))
+
+
+def forecast_coverage(spark, folder):
+    """Origins per series, and how many of those with an observed target ARIMA answers: all, from the
+    second day of the slice on, as the first refit fold has nothing to learn from."""
+    rows = recent(spark, folder)
+    found = forecasts.complete(fitted.arima_forecasts(rows, TARGET, P)).groupBy(SERIES).agg(F.count(F.lit(1)).alias("arima"))
+    series = forecasts.target_slots(rows, TARGET, P)
+    origins = forecasts.walk_forward_origins(series, P).groupBy(SERIES).agg(F.count(F.lit(1)).alias("origins"))
+    return origins.join(found, SERIES, "left").select(SERIES, "origins", F.coalesce("arima", F.lit(0).cast("bigint")).alias("arima"))
 
 
 # --- one long series
@@ -453,7 +464,7 @@ def long_series_states(spark, folder):
     """States of the whole series: exclusion of shutdowns, features, sweep and labels."""
     rows = stage(long_grid(spark, folder))
     down = shutdown_plan.shutdowns_on_grid(rows, LONG_LIMITS, P)
-    found = state_plan.operating_states(rows, tables.LONG_SENSORS, P.with_(n_init=1), shutdowns=down)
+    found = state_plan.operating_states(rows, tables.LONG_SENSORS, P, shutdowns=down)
     return state_plan.full_timeline(rows, found)
 
 
@@ -474,6 +485,17 @@ def stream_resample(spark, folder):
     return round_doubles(spark.read.schema(out.schema).parquet(f"{run}/slots"))
 
 
+def stream_gaps(spark, folder):
+    """The gap report of the stream over closed time."""
+    schema = tables.table(spark, folder, "events").schema
+    raw = streaming.read_stream(spark, folder, schema, pathGlobFilter="events.parquet")
+    readings = raw.select((F.col("user_id") % tables.SERIES_COUNT).alias(SERIES), TS)
+    run = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    out = streaming.stream_sessions(readings, 15, lateness=LATENESS)
+    streaming.write_stream(out, f"{run}/sessions", f"{run}/progress").awaitTermination()
+    return round_doubles(streaming.session_gaps(spark.read.schema(out.schema).parquet(f"{run}/sessions"), 15))
+
+
 _QUERIES = (
     scan_clean, scan_profile, resample_mean, dense_grid, gap_interpolate, resample_hourly, resample_daily, week_view,
     year_view, backtest_slice, ingest_gaps, mad_clip, describe_sensors, describe_orders, correlation_matrix,
@@ -485,7 +507,7 @@ _QUERIES = (
     contextual_anomalies, asof_last_value, walk_forward_origins, walk_forward_origins_late, seasonality_test,
     ar1_expanding, forecast_naive, forecast_seasonal_naive, forecast_union, backtest_metrics, best_model,
     forecast_tail, forecast_gbt, forecast_arima, long_series_grid, long_series_shutdowns, long_series_profile,
-    long_series_outliers, long_series_states, stream_resample,
+    long_series_outliers, long_series_states, stream_resample, stream_gaps, forecast_coverage,
 )
 
 

@@ -56,7 +56,8 @@ def fixed(c: Column | str, places: int = 6) -> Column:
     even where the order of a sum has cost the last bit."""
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10**places)
-    return F.floor(c * scale + 0.5001) / F.lit(scale)
+    # floor gives a 64-bit number; beyond its range a double has no places to round.
+    return F.when(F.abs(c) < 9e18 / scale, F.floor(c * scale + 0.5001) / F.lit(scale)).when(~F.isnan(c), c)
 
 
 def null_nan(c: Column) -> Column:

@@ -39,9 +39,14 @@ def lag_rows(grid: DataFrame, target: str, params: Params) -> DataFrame:
     return over_chunks(rows, [SERIES], SLOT, params.span, build, params.n_lags, params.horizon)
 
 
-def fold_cutoffs(origins: DataFrame, params: Params) -> list[dt.datetime]:
-    """First instants of the refit folds that cover all origins; two values reach the driver."""
-    low, high = origins.agg(F.min(TS), F.max(TS)).first()
+def fold_cutoffs(origins: DataFrame, complete: DataFrame, params: Params) -> list[dt.datetime]:
+    """First instants of the refit folds. They cover all origins from the first one by which
+    ``min_train_rows`` training rows are complete; ``min_train_rows`` instants reach the driver."""
+    seen = [r[0] for r in complete.select(TS).orderBy(TS).limit(params.min_train_rows).collect()]
+    if len(seen) < params.min_train_rows:
+        return []
+    ready = seen[-1] + dt.timedelta(seconds=params.horizon * params.step)
+    low, high = origins.filter(F.col(TS) >= F.lit(ready).cast("timestamp_ntz")).agg(F.min(TS), F.max(TS)).first()
     if low is None:
         return []
     width = dt.timedelta(days=params.gbt_refit_days)
@@ -51,8 +56,9 @@ def fold_cutoffs(origins: DataFrame, params: Params) -> list[dt.datetime]:
 def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame | None:
     """One boosted-tree fit per fold over all series, each standardised by its training rows.
 
-    A training row counts only if its target is observed by the fold's cutoff. Folds with fewer
-    than ``min_train_rows`` complete rows give no forecast; ``None`` if there is no other fold.
+    A training row counts only if its target is observed by the fold's cutoff. Every origin with
+    complete lags is answered once ``min_train_rows`` training rows exist; ``None`` if they never do.
+    A series without training rows has no scale and no forecast in that fold.
     """
     lags = [f"lag_{i}" for i in range(1, params.n_lags + 1)]
     lagged = stage(lag_rows(grid, target, params))
@@ -65,8 +71,6 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
         seen = F.lit(cutoff - dt.timedelta(seconds=reach)).cast("timestamp_ntz")
         train = complete.filter(F.col(TS) <= seen)
         rows = train.count()
-        if rows < params.min_train_rows:
-            return None
         scale = train.groupBy(SERIES).agg(
             F.avg("y").alias("_m"), F.coalesce(F.nullif(F.stddev_pop("y"), F.lit(0.0)), F.lit(1.0)).alias("_d")
         )
@@ -94,7 +98,7 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
             (F.col("prediction") * F.col("_d") + F.col("_m")).alias("y_pred"),
         )
 
-    cutoffs = fold_cutoffs(origins, params)
+    cutoffs = fold_cutoffs(origins, complete, params)
     found = side_by_side(grid.sparkSession, fold, cutoffs, params.parallel_fits)
     parts = [part for part in found if part is not None]
     return reduce(DataFrame.unionByName, parts) if parts else None
@@ -104,7 +108,8 @@ def arima_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame:
     """ARIMA order search per series and refit fold, all folds in parallel.
 
     A fold holds the training days before it and its own origins, which bounds a task however
-    long the series is. The order with the lowest AIC is rolled to every origin of the fold.
+    long the series is. The order with the lowest AIC is rolled to every origin of the fold, over
+    missing slots too: from the last observation to the horizon after the origin.
     """
     rows = target_slots(grid, target, params)
     origins = walk_forward_origins(rows, params).select(SERIES, SLOT, F.lit(True).alias("is_origin"))
@@ -118,7 +123,7 @@ def arima_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame:
     )
     # A target slot of the last origins may lie after the fold; it is joined afterwards.
     orders = list(product(params.arima_p, params.arima_d, params.arima_q))
-    horizon, seed_rows = params.horizon, params.min_train_rows
+    horizon = params.horizon
     key_type = rows.schema[SERIES].dataType.simpleString()
     schema = f"`{SERIES}` {key_type}, slot bigint, y_pred double, p int, d int, q int"
 
@@ -131,7 +136,7 @@ def arima_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame:
         seen = np.isfinite(y)
         train = y[seen & (slot < start)]
         empty = pd.DataFrame({c: [] for c in (SERIES, "slot", "y_pred", "p", "d", "q")})
-        if not len(at) or len(train) < seed_rows:
+        if not len(at):
             return empty
         fit = best_order(train, orders)
         if fit is None:
@@ -139,7 +144,8 @@ def arima_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame:
         observed = y[seen]
         count = np.cumsum(seen)[at]  # observations up to and including each origin
         usable = count > fit.burn_in
-        pred = fit.forecast(observed, count[usable], horizon)
+        late = slot[at] - slot[seen][np.maximum(count, 1) - 1]  # slots since the last observation
+        pred = fit.forecast(observed, count[usable], horizon + late[usable])
         p, d, q = fit.order
         return pd.DataFrame(
             {SERIES: pdf[SERIES].iloc[0], "slot": slot[at[usable]], "y_pred": pred, "p": p, "d": d, "q": q}
@@ -168,16 +174,17 @@ class ArimaFit:
         for i, a in enumerate(self.ar, 1):
             base[i:] -= a * w[:-i]
         base[:p] = 0.0
-        if not q:
+        if not q or not len(base):
             return base
-        e = np.zeros(len(w))
-        for t in range(p, len(w)):
-            back = sum(self.ma[j] * e[t - 1 - j] for j in range(min(q, t)))
-            e[t] = np.clip(base[t] - back, -1e12, 1e12)
-        return e
-
-    def forecast(self, observed: np.ndarray, counts: np.ndarray, horizon: int) -> np.ndarray:
-        """Value ``horizon`` steps after the first ``counts`` observations, for all counts at once."""
+        # The moving-average part is undone by the impulse response of its inverse, which dies out
+        # for the invertible orders that are kept.
+        response = [1.0]
+        while len(response) < len(w) and max(abs(r) for r in response[-q:]) > 1e-14:
+            response.append(-sum(m * r for m, r in zip(self.ma, response[::-1])))
+        return np.convolve(base, response)[: len(w)]
+
+    def forecast(self, observed: np.ndarray, counts: np.ndarray, steps: np.ndarray | int) -> np.ndarray:
+        """Value ``steps`` after the first ``counts`` observations, for all counts at once."""
         d = self.order[1]
         w = np.diff(observed, d) if d else observed.astype(float)
         e = self.residuals(w.copy())
@@ -185,13 +192,16 @@ class ArimaFit:
         past_w = [w[last - i] for i in range(len(self.ar))]
         past_e = [e[last - i] for i in range(len(self.ma))]
         level = observed[counts - 1].astype(float)
-        for _ in range(horizon):
+        steps = np.broadcast_to(steps, len(counts))
+        found = level.copy()
+        for k in range(1, int(steps.max(initial=0)) + 1):
             step = self.const + sum(a * x for a, x in zip(self.ar, past_w)) + sum(m * x for m, x in zip(self.ma, past_e))
             step = step + np.zeros(len(counts))
             past_w = [step, *past_w][: len(self.ar)]
             past_e = [np.zeros(len(counts)), *past_e][: len(self.ma)]
             level = level + step if d else step
-        return level
+            found = np.where(steps == k, level, found)
+        return found
 
 
 def fit_order(y: np.ndarray, order: tuple[int, int, int]) -> ArimaFit | None:
@@ -219,9 +229,11 @@ def fit_order(y: np.ndarray, order: tuple[int, int, int]) -> ArimaFit | None:
         coef = np.zeros(0)
     const, rest = (coef[0], coef[1:]) if not d else (0.0, coef)
     fit = ArimaFit(order, float(const), rest[:p], rest[p:], np.inf)
+    if np.abs(np.roots([1.0, *rest[p:]])).max(initial=0.0) >= 1.0:
+        return None
     e = fit.residuals(w.astype(float).copy())[max(p, 1) :]
     variance = float(np.mean(e * e))
-    if not np.isfinite(variance) or variance <= 0 or np.abs(np.roots([1.0, *rest[p:]])).max(initial=0.0) >= 1.0:
+    if not np.isfinite(variance) or variance <= 0:
         return None
     fit.aic = len(e) * (np.log(2 * np.pi * variance) + 1.0) + 2 * (len(coef) + 1)
     return fit

@@ -56,15 +56,23 @@ def _runs(df: DataFrame, mask: str, params: Params) -> DataFrame:
     rows = df.select(SERIES, TS, *([CHUNK] if CHUNK in df.columns else []), F.col(mask).alias("_on"), slot)
     if CHUNK not in rows.columns:
         rows = rows.withColumn(CHUNK, chunk_of(SLOT, params.span))
-    w = Window.partitionBy(SERIES, CHUNK).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(SERIES, CHUNK)
+    w = whole.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
     off = F.when(~F.coalesce(F.col("_on"), F.lit(False)), F.col(SLOT))
     local = (
-        rows.withColumn(ISLAND, F.last(off, ignorenulls=True).over(w))
+        rows.withColumns({
+            ISLAND: F.last(off, ignorenulls=True).over(w),
+            "_first": F.min(SLOT).over(whole), "_last": F.max(SLOT).over(whole),
+        })
         .filter("_on")
         .groupBy(SERIES, CHUNK, ISLAND)
-        .agg(F.min(TS).alias("_from"), F.max(TS).alias("_to"), F.min(SLOT).alias("_a"), F.max(SLOT).alias("_b"))
+        .agg(
+            F.min(TS).alias("_from"), F.max(TS).alias("_to"), F.min(SLOT).alias("_a"), F.max(SLOT).alias("_b"),
+            F.first("_first").alias("_first"), F.first("_last").alias("_last"),
+        )
     )
-    edge = (F.pmod("_a", F.lit(params.span)) == 0) | (F.pmod("_b", F.lit(params.span)) == params.span - 1)
+    # The edges are those of the rows at hand: the grid may have been cut with another span.
+    edge = (F.col("_a") == F.col("_first")) | (F.col("_b") == F.col("_last"))
     across = Window.partitionBy(SERIES, "_home").orderBy("_a")
     upto = across.rowsBetween(Window.unboundedPreceding, 0)
     joined = local.withColumn("_home", F.when(~edge, F.col(CHUNK))).withColumn(

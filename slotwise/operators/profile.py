@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import attach
 from slotwise.functions.quantiles import group_quantiles
-from slotwise.operators.grid import series_bounds
+from slotwise.functions.timeslots import slot_of
 from slotwise.params import SERIES, TS, Params
 from slotwise.sources.staging import stage
 
+# The percentiles of the summary.
 SUMMARY_PROBS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 
 
@@ -27,8 +28,8 @@ def scan_profile(df: DataFrame, params: Params) -> DataFrame:
     counts = df.groupBy(SERIES).agg(
         F.count(F.lit(1)).alias("readings"), F.min(TS).alias("first_ts"), F.max(TS).alias("last_ts")
     )
-    slots = series_bounds(df, params).select(SERIES, (F.col("last_slot") - F.col("first_slot") + 1).alias("grid_slots"))
-    return counts.join(slots, SERIES)
+    length = slot_of("last_ts", params.step) - slot_of("first_ts", params.step) + 1
+    return counts.withColumn("grid_slots", length)
 
 
 def clip_bounds(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFrame:
@@ -97,9 +98,19 @@ def describe(
 
 
 def correlations(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every pair of sensors, in long form."""
+    """Pairwise-complete Pearson correlation of every pair of sensors, in long form; null where a
+    sensor does not vary over the common slots."""
     pairs = [(a, b) for i, a in enumerate(sensors) for b in sensors[i:]]
-    wide = df.groupBy(SERIES).agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+
+    def spread(a: str, b: str) -> Column:
+        return F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+
+    wide = df.groupBy(SERIES).agg(
+        *[
+            (F.covar_pop(a, b) / F.nullif(spread(a, b) * spread(b, a), F.lit(0.0))).alias(f"_{i}")
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
     cells = [
         F.struct(F.lit(x).alias("sensor_a"), F.lit(y).alias("sensor_b"), F.col(f"_{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)

@@ -15,7 +15,7 @@ WIDE = ", ".join(SENSORS)
 
 def rnd(x: str, places: int = 6) -> str:
     scale = f"{10**places}.0::DOUBLE"
-    return f"floor(({x}) * {scale} + 0.5001) / {scale}"
+    return f"CASE WHEN NOT isnan(({x})::DOUBLE) THEN floor(({x}) * {scale} + 0.5001) / {scale} END"
 
 
 def rounded(columns, places: int = 6) -> str:
@@ -229,11 +229,10 @@ def recent_ctes(season_corr: float = 0.3) -> list[str]:
 FORECAST = "series_id, origin, ts, model"
 
 
-def spans(kind: str) -> str:
-    return (
-        "spans AS (SELECT user_id % 4 AS series_id, ts AS start,"
-        f" ts + CAST(floor(value) AS INTEGER) * INTERVAL 1 MINUTE AS \"end\" FROM events WHERE event_type = '{kind}')"
-    )
+SPANS = (
+    "spans AS (SELECT user_id % 4 AS series_id, ts AS start,"
+    ' ts + CAST(floor(value / 10) AS INTEGER) * INTERVAL 1 MINUTE AS "end" FROM events)'
+)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -258,12 +257,12 @@ def oracle_sql() -> dict[str, str]:
     sql["gap_interpolate"] = g + f"SELECT series_id, ts, {wide} FROM grid"
     sql["resample_hourly"] = hourly + f"SELECT series_id, ts, {wide} FROM grid"
     sql["resample_daily"] = daily + f"SELECT series_id, ts, {measures} FROM grid"
-    sql["week_view"] = g + (
-        f"SELECT series_id, ts, {rnd(TARGET)} AS {TARGET} FROM grid"
+    sql["week_view"] = with_(*CLIP) + (
+        f"SELECT series_id, ts, {rnd(TARGET)} AS {TARGET} FROM clipped"
         f" QUALIFY row_number() OVER ({W}) <= {7 * 86400 // STEP}"
     )
-    sql["year_view"] = daily + (
-        f"SELECT series_id, ts, {measures} FROM grid QUALIFY row_number() OVER ({W}) <= 365"
+    sql["year_view"] = with_(*daily_grid, *clip_ctes(("price", "quantity"))) + (
+        f"SELECT series_id, ts, {measures} FROM clipped QUALIFY row_number() OVER ({W}) <= 365"
     )
     sql["backtest_slice"] = daily + (
         f"SELECT series_id, ts, {measures} FROM grid"
@@ -286,10 +285,13 @@ def oracle_sql() -> dict[str, str]:
         f" WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1"
         for a in SENSORS
         for b in SENSORS
+    ) + " UNION ALL " + " UNION ALL ".join(
+        f"SELECT series_id, '{a}' AS sensor_a, '{b}' AS sensor_b, CAST(NULL AS DOUBLE) AS corr FROM clipped GROUP BY 1"
+        for a, b in [*[("stuck", c) for c in SENSORS], *[(c, "stuck") for c in SENSORS], ("stuck", "stuck")]
     )
-    sql["decile_fallback_mask"] = g + (
-        f"SELECT g.series_id, ts, coalesce({TARGET} <= cut, false) AS \"off\" FROM grid g JOIN"
-        f" (SELECT series_id, quantile_cont({TARGET}, 0.1) AS cut FROM grid GROUP BY 1) c ON c.series_id = g.series_id"
+    sql["decile_fallback_mask"] = with_(*GRID, median_cte()) + (
+        f"SELECT g.series_id, ts, coalesce({TARGET} <= cut, false) AS \"off\" FROM smooth g JOIN"
+        f" (SELECT series_id, quantile_cont({TARGET}, 0.1) AS cut FROM smooth GROUP BY 1) c ON c.series_id = g.series_id"
     )
 
     down = with_(*SHUTDOWN)
@@ -311,7 +313,7 @@ def oracle_sql() -> dict[str, str]:
         " AS running_share FROM bands"
     )
     sql["merge_periods"] = with_(
-        spans("purchase"),
+        SPANS,
         "opened AS (SELECT *, CASE WHEN start <= max(\"end\") OVER (PARTITION BY series_id ORDER BY start, \"end\""
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM spans)",
         "grouped AS (SELECT *, sum(opens) OVER (PARTITION BY series_id ORDER BY start, \"end\" ROWS UNBOUNDED PRECEDING) AS grp FROM opened)",
@@ -319,7 +321,7 @@ def oracle_sql() -> dict[str, str]:
         'SELECT series_id, min(start) AS start, max("end") AS "end",'
         f" {rnd('(epoch_us(max(\"end\")) - epoch_us(min(start))) / 60e6')} AS duration_min FROM grouped GROUP BY series_id, grp"
     )
-    sql["slots_in_periods"] = with_(*GRID, spans("signup")) + (
+    sql["slots_in_periods"] = with_(*GRID, SPANS) + (
         "SELECT d.series_id, d.ts, EXISTS (SELECT 1 FROM spans s WHERE s.series_id = d.series_id AND d.ts >= s.start"
         ' AND d.ts <= s."end") AS inside FROM dense d'
     )
@@ -332,9 +334,8 @@ def oracle_sql() -> dict[str, str]:
     sql["rolling_features"] = with_(*GRID, features("grid", SENSORS)) + (
         f"SELECT series_id, ts, {rounded(feature_columns(SENSORS))} FROM features"
     )
-    pair = (TARGET, "view")
-    sql["features_between_shutdowns"] = with_(*SHUTDOWN, outside, features("running", pair)) + (
-        f"SELECT series_id, ts, {rounded(feature_columns(pair))} FROM features"
+    sql["features_between_shutdowns"] = with_(*SHUTDOWN, outside, features("running", SENSORS)) + (
+        f"SELECT series_id, ts, {rounded(feature_columns(SENSORS))} FROM features"
     )
     z = with_(*GRID, *MAD_Z)
     sql["rolling_mad_z"] = z + f"SELECT series_id, ts, {rounded((TARGET, 'med', 'mad', 'z'), 4)} FROM scored"
@@ -435,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
     sql["best_model"] = back + f"SELECT series_id, model, {rounded(('mae', 'rmse'), 4)}, n FROM best"
     sql["forecast_tail"] = back + (
         f"SELECT series_id, origin, ts, d.model, {both4} FROM done d JOIN best b USING (series_id) WHERE d.model = b.model"
-        " QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 288"
+        " QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 2016"
     )
     sql["long_series_grid"] = with_(*LONG_GRID) + f"SELECT series_id, ts, {rounded(LONG_SENSORS, 4)} FROM grid"
     sql["long_series_shutdowns"] = with_(
@@ -452,4 +453,19 @@ def oracle_sql() -> dict[str, str]:
         f" WHERE TIMESTAMP '1970-01-01' + (slot + 1) * INTERVAL {STEP} SECOND <="
         " (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE FROM events)"
     )
+    sql["forecast_coverage"] = back + (
+        "SELECT series_id, count(*) AS origins, count(CASE WHEN y_true IS NOT NULL AND slot >= first_fold THEN 1 END) AS arima"
+        " FROM origins JOIN (SELECT series_id, (min(slot) // 288 + 1) * 288 AS first_fold FROM recent WHERE y IS NOT NULL"
+        " GROUP BY 1) USING (series_id) GROUP BY 1"
+    )
+    sql["stream_gaps"] = with_(
+        "marked AS (SELECT user_id % 4 AS series_id, ts, lag(ts) OVER (PARTITION BY user_id % 4 ORDER BY ts) AS before FROM events)",
+        "sessions AS (SELECT series_id, ts, before, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 15 MINUTE THEN 1 ELSE 0 END)"
+        " OVER (PARTITION BY series_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n FROM marked)",
+        "closed AS (SELECT series_id, n FROM sessions GROUP BY 1, 2 HAVING max(ts) + INTERVAL 15 MINUTE <="
+        " (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE FROM events))",
+    ) + (
+        "SELECT series_id, before AS gap_start, ts AS gap_end, " + rnd("(epoch_us(ts) - epoch_us(before)) / 60e6")
+        + " AS gap_min FROM sessions JOIN closed USING (series_id, n) WHERE ts - before > INTERVAL 15 MINUTE"
+    )
     return sql

@@ -37,10 +37,9 @@ def stage(df: DataFrame) -> DataFrame:
 
 def place(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """Hash the rows over partitions and order them there, both by their key, so that a seeded fit
-    does not depend on how its input was partitioned. Few rows get few partitions: a fit is many
-    short jobs over them."""
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(1, min(most, -(-rows // PLACED_ROWS)))
+    depends neither on how its input was partitioned nor on the session. Few rows get few partitions:
+    a fit is many short jobs over them."""
+    partitions = max(1, -(-rows // PLACED_ROWS))
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 

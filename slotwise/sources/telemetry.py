@@ -6,12 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slotwise.functions.timeslots import null_nan
 from slotwise.params import SERIES, TIMESTAMP_NAMES, TS
 
 PERIOD_SCHEMA = f"{SERIES} STRING, start TIMESTAMP_NTZ, end TIMESTAMP_NTZ, duration_min DOUBLE"
 LABEL_SCHEMA = f"{SERIES} STRING, {TS} TIMESTAMP_NTZ, cluster INT"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
+
+
+def stamp_formats(day_first: bool = False) -> tuple[str, ...]:
+    """Formats that are tried after ISO text. A bare year is ISO: midnight of 1 January."""
+    date = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy") if day_first else ("M/d/yyyy", "M-d-yyyy", "d.M.yyyy")
+    dates = (*date, "yyyy/M/d", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy")
+    return tuple(f"{d}{t}" for d in dates for t in (" H:mm[:ss[.SSSSSS]]", " h:mm[:ss] a", ""))
 
 
 def timestamp_column(names: Sequence[str]) -> str:
@@ -22,21 +31,37 @@ def timestamp_column(names: Sequence[str]) -> str:
 def lenient_timestamp(name: str, formats: Sequence[str] = ()) -> Column:
     """ISO text or any of ``formats``; what cannot be read becomes null."""
     tries = [F.col(name).try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(F.col(name).cast("string"), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    tries += [F.try_to_timestamp(F.trim(F.col(name).cast("string")), F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*tries)
 
 
 def lenient_number(name: str) -> Column:
-    return null_nan(F.col(name).try_cast("double"))
+    """The number, or null for other text; suffixes such as 1.0d are no numbers."""
+    plain = F.col(name).cast("string").rlike(NUMBER)
+    return null_nan(F.when(plain, F.col(name).try_cast("double")))
+
+
+def unreadable_rows(df: DataFrame, *, series: str | None = None, day_first: bool = False) -> DataFrame:
+    """How many rows ``clean`` reads and how many it drops for their timestamp or series."""
+    df = df.toDF(*[c.strip() for c in df.columns])
+    when = timestamp_column([c for c in df.columns if c != series])
+    lost = lenient_timestamp(when, stamp_formats(day_first)).isNull()
+    if series:
+        lost = lost | F.col(series).isNull()
+    return df.agg(F.count(F.lit(1)).alias("rows_read"), F.count(F.when(lost, 1)).alias("rows_dropped"))
 
 
-def clean(df: DataFrame, *, series: str | None = None, formats: Sequence[str] = ()) -> DataFrame:
+def clean(
+    df: DataFrame, *, series: str | None = None, formats: Sequence[str] | None = None, day_first: bool = False
+) -> DataFrame:
     """Raw columns -> ``series_id, ts, sensors``.
 
     Column names are trimmed, the timestamp column is found by name, rows without a readable
     timestamp are dropped and every other column becomes a number or null. Without a ``series``
-    column all rows are one series.
+    column all rows are one series. ``formats`` replaces ``stamp_formats``, in which 1/2/2024 is the
+    second of January unless ``day_first``; ``unreadable_rows`` counts what is dropped.
     """
+    formats = stamp_formats(day_first) if formats is None else formats
     df = df.toDF(*[c.strip() for c in df.columns])
     when = timestamp_column([c for c in df.columns if c != series])
     sensors = [c for c in df.columns if c not in (when, series)]
@@ -48,14 +73,15 @@ def clean(df: DataFrame, *, series: str | None = None, formats: Sequence[str] =
 
 
 def read_telemetry(
-    spark: SparkSession, path: str, *, series: str | None = None, formats: Sequence[str] = ()
+    spark: SparkSession, path: str, *, series: str | None = None, formats: Sequence[str] | None = None,
+    day_first: bool = False,
 ) -> DataFrame:
     """CSV with a header (every cell read as text, no inference pass) or Parquet."""
     if str(path).rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
     else:
         raw = spark.read.csv(path, header=True, inferSchema=False)
-    return clean(raw, series=series, formats=formats)
+    return clean(raw, series=series, formats=formats, day_first=day_first)
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -76,7 +102,15 @@ def read_labels(spark: SparkSession, path: str, *, fmt: str = "parquet", schema:
 
 
 def _read(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
-    reader = spark.read.format(fmt)
     if fmt == "csv":
-        return reader.schema(schema).option("header", True).load(path)
-    return reader.load(path)
+        raw = spark.read.csv(path, header=True, inferSchema=False)
+    else:
+        raw = spark.read.format(fmt).load(path)
+    wanted = StructType.fromDDL(schema).fields
+
+    def column(f):
+        # Whole numbers may be written as 0.0.
+        text = F.col(f.name)
+        return (text.try_cast("double") if f.dataType.simpleString() in ("int", "bigint") else text).try_cast(f.dataType)
+
+    return raw.select(*[column(f).alias(f.name) for f in wanted])
