@@ -1,0 +1,54 @@
+import hashlib
+import random
+
+import pytest
+from rows import DOCS, documents, sentence
+
+from slotwise.llm.secrets import blank_secrets, candidates, labelled_findings, scan, train
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return train(labelled_findings(spark))
+
+
+def hexa(i, n=40):
+    return hashlib.sha512(str(i).encode()).hexdigest()[:n]
+
+
+def test_held_out_findings(spark, model):
+    rng = random.Random(1)
+    true = [f'{sentence(rng, 8)} token = "{hexa(i)}" {sentence(rng, 5)}' for i in range(30)]
+    false = [
+        f"{sentence(rng, 8)} {kind} {sentence(rng, 5)}" for i in range(10)
+        for kind in (f"that.92@mail{i}.example.com", f"https://www.example.org/page/{i}000/index.html", "password = changeme", f"commit {hexa(i)}")
+    ]
+    rows = scan(documents(spark, true + false), model=model).collect()
+    found = {r.doc_id for r in rows if r.is_secret}
+    assert len(found & set(range(30))) >= 29
+    assert len(found - set(range(30))) <= 2
+
+
+def test_places_and_blanks(spark, model):
+    secret = hexa(7)
+    texts = [f'é𝄞 x token = "{secret}" mid token = "{secret}" end', None, "", "plain text", f'\x01 token = "{secret}"']
+    docs = documents(spark, texts)
+    for r in candidates(docs).collect():
+        assert texts[r.doc_id][r.start : r.start + len(r.candidate)] == r.candidate
+    blanked = {r.doc_id: r.text for r in blank_secrets(docs, model=model).collect()}
+    assert blanked == {i: t.replace(secret, "[SECRET]") if t else t for i, t in enumerate(texts)}
+
+
+def test_many_findings_repeats_and_empty_tables(spark, model):
+    text = " ".join(f'token = "{hexa(i)}"' for i in range(400))
+    docs = documents(spark, [text, text, "x" * 200_000])
+    out = blank_secrets(docs, model=model)
+    assert out.columns == docs.columns
+    assert [r.text.count("[SECRET]") for r in out.orderBy("doc_id").collect()] == [400, 400, 0]
+    assert scan(spark.createDataFrame([], DOCS), model=model).count() == 0
+    assert blank_secrets(spark.createDataFrame([], DOCS), model=model).count() == 0
+
+
+def test_no_python_in_the_plan(spark, model):
+    plan = blank_secrets(documents(spark, ["x"]), model=model)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
