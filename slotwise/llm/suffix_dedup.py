@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,26 +139,21 @@ def repeated_starts(strings: list[bytes], width: int) -> list[np.ndarray]:
     with tempfile.TemporaryDirectory() as folder:
         files = Columns(folder)
         files.write(columns[0], np.zeros(m, np.uint8))
-        # The last inserted suffixes: their rows in the transform, and whose they are.
-        rows, owner = np.arange(m), np.arange(m)
+        # Rows of the transform in stable order of their symbols, and how many each symbol has.
+        order = np.argsort(columns[0], kind="stable").astype(np.int32)
+        totals = np.bincount(columns[0], minlength=257)
+        # The last inserted suffixes in that order: whose they are, their places in it, their symbols.
+        owner, at, symbol = order.astype(np.int64), np.arange(m), columns[0][order]
         for j in range(1, longest + 1):
+            going = symbol > 0
+            owner, at, symbol = owner[going], at[going], symbol[going]
             transform, prefixes = files.read()
-            n = len(transform)
-            going = transform[rows] > 0
-            rows, owner = rows[going], owner[going]
-            order = np.argsort(transform, kind="stable")
-            ended = n - int(np.count_nonzero(transform))
-            place = np.empty(n, np.int64)
-            place[order] = np.arange(n)
-            at = place[rows]
-            by_place = np.argsort(at)
-            rows, owner, at = rows[by_place], owner[by_place], at[by_place]
-            symbol = transform[rows]
+            n, ended = len(transform), int(totals[0])
+            rows = order[at]
             # Occurrences of the same symbol before and after.
-            before = order[at - 1]
-            has_before = (at - 1 >= ended) & (transform[before] == symbol)
-            after = order[np.minimum(at + 1, n - 1)]
-            has_after = (at + 1 < n) & (transform[after] == symbol)
+            ends = np.cumsum(totals)
+            before, after = order[at - 1], order[np.minimum(at + 1, n - 1)]
+            has_before, has_after = at > ends[symbol - 1], at + 1 < ends[symbol]
             own = np.zeros(len(rows), np.int64)
             own[has_before] = 1 + _least_between(prefixes, before[has_before], rows[has_before])
             following = 1 + _least_between(prefixes, rows[has_after], after[has_after])
@@ -166,18 +162,33 @@ def repeated_starts(strings: list[bytes], width: int) -> list[np.ndarray]:
             old[spots] = False
             grown, common = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
             grown[old], common[old] = transform, prefixes
-            grown[spots] = columns[j, owner]
+            symbol = columns[j, owner]
+            grown[spots] = symbol
             common[spots[has_after] + 1] = np.minimum(following, width)
             common[spots] = np.minimum(own, width)
             files.write(grown, common)
-            rows = spots
+            # The same order with the insertions.
+            order = np.flatnonzero(old).astype(np.int32)[order]
+            by_symbol = np.argsort(symbol, kind="stable")
+            owner, spots, symbol = owner[by_symbol], spots[by_symbol], symbol[by_symbol]
+            fresh = np.bincount(symbol, minlength=257)
+            at = np.empty(len(spots), np.int64)
+            done = 0
+            for s in np.flatnonzero(fresh).tolist():
+                part = slice(done, done + int(fresh[s]))
+                at[part] = ends[s] - totals[s] + np.searchsorted(order[ends[s] - totals[s] : ends[s]], spots[part])
+                done += int(fresh[s])
+            at += np.arange(len(at))
+            old = np.ones(len(old), bool)
+            old[at] = False
+            merged = np.empty(len(old), np.int32)
+            merged[old], merged[at] = order, spots
+            order = merged
+            totals = totals + fresh
         transform, prefixes = files.read()
         files.close()
-    n = len(transform)
-    order = np.argsort(transform, kind="stable")
-    ended = int((transform == 0).sum())
-    back = np.empty(n, np.int64)
-    back[order] = np.arange(n) - ended + m
+    back = np.empty(len(transform), np.int64)
+    back[order] = np.arange(len(transform)) - int(totals[0]) + m
     repeats = prefixes >= width
     repeats[:-1] |= prefixes[1:] >= width
     found: list[list[int]] = [[] for _ in strings]
@@ -261,10 +272,13 @@ def _construct(strings: DataFrame, width: int, batch_bytes: int) -> DataFrame:
         size = 0
 
         def close() -> pa.RecordBatch:
-            starts = repeated_starts([b for _, b, _ in held], width)
             ids, spans = [], []
-            for (_, body, copies), own in zip(held, starts):
-                found = [(0, len(body) - width)] if copies > 1 else ranges(own)
+            # The only string of a hash meets no other, and the count of its copies says all.
+            several = Counter(key for key, _, _ in held)
+            joined = [k for k, (key, _, copies) in enumerate(held) if several[key] > 1 or copies == 1]
+            starts = dict(zip(joined, repeated_starts([held[k][1] for k in joined], width) if joined else []))
+            for k, (_, body, copies) in enumerate(held):
+                found = [(0, len(body) - width)] if copies > 1 else ranges(starts[k])
                 if found:
                     ids.append(hashlib.md5(body).digest())
                     spans.append([{"low": a, "high": b} for a, b in found])
