@@ -33,6 +33,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", str(Path("spark-warehouse", "bench").resolve()))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

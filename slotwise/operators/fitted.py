@@ -208,10 +208,13 @@ def fit_order(y: np.ndarray, order: tuple[int, int, int]) -> ArimaFit | None:
     """Two-stage least squares (Hannan and Rissanen, 1982) with a conditional-likelihood AIC."""
     p, d, q = order
     w = np.diff(y, d) if d else y
+    terms = p + q + (0 if d else 1)
     skip = 0
     shocks = None
+    long = min(max(10, 2 * (p + q)), len(w) // 4) if q else 0
+    if len(w) - max(p, long + q) <= terms + 2:
+        return None
     if q:
-        long = min(max(10, 2 * (p + q)), len(w) // 4)
         design = _lagged(w, long)
         coef, *_ = np.linalg.lstsq(design, w[long:], rcond=None)
         shocks = np.concatenate([np.zeros(long), w[long:] - design @ coef])
@@ -220,9 +223,6 @@ def fit_order(y: np.ndarray, order: tuple[int, int, int]) -> ArimaFit | None:
     columns = [np.ones(len(w) - first)] if not d else []
     columns += [w[first - i : len(w) - i] for i in range(1, p + 1)]
     columns += [shocks[first - j : len(w) - j] for j in range(1, q + 1)]
-    n = len(w) - first
-    if n <= len(columns) + 2:
-        return None
     if columns:
         coef, *_ = np.linalg.lstsq(np.column_stack(columns), w[first:], rcond=None)
     else:
