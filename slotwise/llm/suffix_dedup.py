@@ -248,18 +248,27 @@ def _runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
 def _cut(texts: DataFrame, width: int) -> DataFrame:
     """The strings of each text's repeated hashes."""
 
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["key", "body", "digest", "start", "copies"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for digests, bodies, copies, spans in column_batches(batches, ("digest", "text", "copies", "spans")):
-            out: list[tuple] = [
-                (s["key"], body[s["start"] : s["start"] + s["windows"] + width - 1], digest, s["start"], n)
-                for digest, body, n, own in zip(digests, bodies, copies, spans) for s in own
-            ]
-            for first in range(0, len(out), 20_000):
-                columns = list(zip(*out[first : first + 20_000]))
-                kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "body", "digest", "start", "copies"]
-                )
+        out: list[tuple] = []
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                for digests, bodies, copies, spans in column_batches(iter([part]), ("digest", "text", "copies", "spans")):
+                    for digest, body, n, own in zip(digests, bodies, copies, spans):
+                        for s in own:
+                            out.append((s["key"], body[s["start"] : s["start"] + s["windows"] + width - 1], digest, s["start"], n))
+                            if len(out) >= 20_000:
+                                yield made(out)
+                                out = []
+        if out:
+            yield made(out)
 
     return texts.mapInArrow(run, "key long, body binary, digest binary, start int, copies long")
 
