@@ -42,7 +42,14 @@ INLINE = {
     "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
     "u", "var", "nobr", "img", "wbr", "br",
 }
-DROPPED = {"svg", "math", "button", "select", "object", "audio", "video", "canvas", "datalist", "head", "option"}
+MATH = {
+    "math", "mi", "mo", "mn", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom",
+    "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "none", "mtable",
+    "mtr", "mtd", "maction", "semantics", "annotation", "annotation-xml",
+}
+INLINE |= MATH
+DROPPED = {"svg", "button", "select", "object", "audio", "video", "canvas", "datalist", "head", "option"}
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "title", "noscript", "noframes", "style", "script", "template", "head"}
 CLOSES_P = {
     "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer",
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "section",
@@ -88,6 +95,7 @@ def parse(source: str) -> Page:
     page = Page()
     # Open elements: name, and the index of the block node that holds what is inside.
     stack: list[tuple[str, int]] = [("#root", 0)]
+    skip = 0  # place in the stack of the outermost dropped element; nothing in it makes a node
     parts: list[str] = []
     linked = strong = 0
     links = 0
@@ -107,11 +115,14 @@ def parse(source: str) -> Page:
         linked = strong = 0
 
     def close(to: int) -> None:
-        nonlocal links
-        if any(name not in INLINE for name, _ in stack[to:]):
+        nonlocal links, skip
+        seen = stack[to:skip] if skip else stack[to:]
+        if any(name not in INLINE for name, _ in seen):
             flush()
-        links -= sum(name == "a" for name, _ in stack[to:])
+        links -= sum(name == "a" for name, _ in seen)
         del stack[to:]
+        if to <= skip:
+            skip = 0
 
     def innermost(names: set[str], stop: set[str]) -> int | None:
         for i in range(len(stack) - 1, 0, -1):
@@ -121,10 +132,12 @@ def parse(source: str) -> Page:
                 return None
         return None
 
-    at, end, skip = 0, len(source), 0
+    at, end = 0, len(source)
     while at < end:
         m = TAG.search(source, at)
         text = source[at : m.start() if m else end]
+        if stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
         if text and not skip:
             parts.append(text)
             if links:
@@ -139,28 +152,38 @@ def parse(source: str) -> Page:
             continue
         name = name.lower()
         if m[1] or m[4]:
-            if name in DROPPED:
-                skip = max(0, skip - 1)
-                continue
-            if skip:
-                continue
             if name == "br":
-                parts.append(" ")
+                if not skip:
+                    parts.append(" ")
                 continue
-            found = innermost({name}, {"table"} if name in INLINE or name == "p" else set())
+            found = innermost({name}, ({"table"} if name in INLINE or name == "p" else set()) | {"object", "select"})
             if found is not None:
                 close(found)
             continue
+        if stack[-1][0] == "head" and name not in IN_HEAD:
+            close(len(stack) - 1)
+        if skip and (found := innermost({"select"}, {"object"})) is not None:
+            if name in ("select", "input", "textarea", "keygen"):
+                close(found)
+                if name == "select":
+                    continue
         if name in RAW:
             over = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
             at = over.end() if over else end
             continue
-        if name in DROPPED:
-            skip += not m[0].endswith("/>")
+        if name == "body" and skip:
+            close(skip)
+        if name in ("option", "optgroup"):
+            if stack[-1][0] == "option":
+                close(len(stack) - 1)
+            if name == "optgroup" and stack[-1][0] == "optgroup":
+                close(len(stack) - 1)
+        if name in DROPPED or skip:
+            if not m[0].endswith("/>") and name not in VOID:
+                skip = skip or len(stack)
+                stack.append((name, stack[-1][1]))
             continue
-        if name == "body":
-            skip = 0
-        if skip:
+        if name in MATH and m[0].endswith("/>"):
             continue
         if name == "br" or name in VOID:
             if name == "hr":

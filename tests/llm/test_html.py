@@ -80,3 +80,18 @@ def test_null_pages_and_clashing_columns(spark, model):
     df = spark.createDataFrame([(1, None, "kept", 3), (2, "", "kept", 3), (2, "", "kept", 3)], "page_id long, html string, text string, url int")
     assert [r.text for r in main_text(df, model=model).collect()] == ["", "", ""]
     assert page_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<body><p>one <select><option>A<option>B</select> two</p><p>three</p>", ["one two", "three"]),
+    ("<body><select><optgroup><option>A<optgroup><option>B</select><p>one</p>", ["one"]),
+    ("<body><datalist><option value=a><option value=b></datalist><p>one</p>", ["one"]),
+    ("<body><div><option>A</div><p>one</p>", ["one"]),
+    ("<head><title>t</title><h1>one</h1><p>two</p>", ["one", "two"]),
+    ("<html><head><meta charset=x><title>t</title>bare text<p>two</p>", ["bare text", "two"]),
+    ("<body><p>a <button><span>x</span></button> b <object><p>y</p></object> c</p>", ["a b c"]),
+    ("<body><p>let <math><mi>x</mi><mspace/><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></math> be</p>", ["let x=y2 be"]),
+    ("<body><p>a <svg><g><path/><text>x</text></g></svg> b</p>", ["a b"]),
+])
+def test_dropped_elements_end_where_browsers_end_them(source, want):
+    assert [t for t in parse(source).text if t] == want
