@@ -29,8 +29,9 @@ LABELLED = 6_000
 ACCEPT = 0.5
 BLANKED = "[SECRET]"
 NAMES = r"token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?|client[_-]?secret"
-KEY = r"(?<![A-Za-z0-9+/_=.\-])(?=[A-Za-z+/_=.\-]{0,64}[0-9])(?=[0-9+/_=.\-]{0,64}[A-Za-z])[A-Za-z0-9+/_=.\-]{16,}"
-ASSIGNED = rf"((?i:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)([^\s\"',;]{{6,}})"
+# An equals sign only ends a key, as padding; before one stands a name.
+KEY = r"(?<![A-Za-z0-9+/_.\-])(?=[A-Za-z+/_.\-]{0,64}[0-9])(?=[0-9+/_.\-]{0,64}[A-Za-z])[A-Za-z0-9+/_.\-]{16,}={0,2}"
+ASSIGNED = rf"((?<![A-Za-z0-9_.\-])[A-Za-z0-9_.\-]{{0,64}}(?i:{NAMES})[A-Za-z0-9_.\-]{{0,64}}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)([^\s\"',;]{{6,}})"
 PATTERN = f"{ASSIGNED}|({KEY})"
 BEFORE, AFTER = 48, 24
 
@@ -72,7 +73,7 @@ def _features(df: DataFrame) -> DataFrame:
         "f_uuid": F.when(low.rlike(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"), 1.0).otherwise(0.0),
         "f_known": F.when(c.rlike(r"^(AKIA|ASIA|gh[pousr]_|sk[_-]|pk_live|rk_live|xox[abpr]-|AIza|eyJ|glpat-|npm_|SG\.)"), 1.0).otherwise(0.0),
         "f_call": F.when(c.rlike(r"[(){}\[\]<>$%]"), 1.0).otherwise(0.0),
-        "f_named": F.when(F.col("before").rlike(rf"(?i)({NAMES})[\"'\w]{{0,24}}\s{{0,3}}[:=]?\s{{0,3}}[\"']?$"), 1.0).otherwise(0.0),
+        "f_named": F.when(F.col("before").rlike(rf"(?i)({NAMES})[\"'\w.\-]{{0,64}}\s{{0,3}}[:=]?\s{{0,3}}[\"']?$"), 1.0).otherwise(0.0),
         "f_assigned": F.when(F.col("before").rlike(r"[:=]\s*[\"']?$"), 1.0).otherwise(0.0),
         "f_quoted": F.when(F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']"), 1.0).otherwise(0.0),
         "f_near": F.when(F.col("before").rlike(rf"(?i)({NAMES})"), 1.0).otherwise(0.0),
@@ -98,6 +99,7 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     lead = pick(["en der of ", "config: ", "and then the ", "les que ", "export ", "", "de la ", "{ ", "set "], 3)
     word = lambda s: pick(["mail", "report", "index", "section", "image", "volume", "chapter", "ontario", "thstere", "verunge", "layout", "module", "release", "cionado"], s)
     number = lambda m, s: F.pmod(F.xxhash64("id", F.lit(s)), F.lit(m)).cast("string")
+    env = pick(["GITHUB_TOKEN=", "AWS_SECRET_ACCESS_KEY=", "DB_PASSWORD=", "S3_SECRET_KEY_2=", "app.auth-token.value=", "STRIPE_API_KEY="], 41)
     named, plain, close = F.concat(lead, name, sign), F.concat(lead, word(4), F.lit(" ")), pick(['"', "'", " ", "\n", ""], 5)
     true = [
         (named, F.substring(h, 1, 40)), (named, F.substring(h, 1, 32)), (named, F.substring(h, 1, 64)),
@@ -107,6 +109,9 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (plain, F.concat(F.lit("ghp_"), F.substring(b62, 1, 36))), (plain, F.concat(F.lit("sk_live_"), F.substring(b62, 1, 24))),
         (F.concat(lead, F.lit("Authorization: Bearer ")), F.concat(F.lit("eyJ"), F.substring(b62, 1, 33), F.lit("."), F.substring(b62, 20, 30))),
         (F.concat(lead, F.lit("token ")), F.substring(h, 1, 40)),
+        (F.concat(lead, env), F.substring(b62, 1, 40)), (F.concat(lead, env), F.concat(F.substring(b62, 1, 8), F.lit("!"), number(90, 42))),
+        (F.concat(lead, F.lit("GITHUB_TOKEN=")), F.concat(F.lit("ghp_"), F.substring(b62, 1, 36))),
+        (F.concat(lead, pick(["AWS_ACCESS_KEY_ID=", "id=", "AWS_ID="], 43)), F.concat(F.lit("AKIA"), F.upper(F.substring(b62, 1, 16)))),
     ]
     false = [
         (F.concat(lead, F.lit("that.92@")), F.concat(word(7), number(99, 8), F.lit(".example.com"))),
@@ -123,6 +128,8 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (plain, F.concat(F.lit("v"), number(9, 30), F.lit("."), number(99, 31), F.lit(".0-"), word(32), F.lit("-"), number(999, 33))),
         (plain, F.concat(word(34), F.lit("..."), word(35), F.lit("..."), number(99, 36))),
         (plain, F.substring(h, 1, 40)),
+        (F.concat(lead, env), pick(["changeme", "your_token_here", "${SECRET_TOKEN}", "example-token-1234", "placeholder"], 44)),
+        (F.concat(lead, pick(["BUILD_COMMIT=", "GIT_SHA=", "version="], 45)), F.substring(h, 1, 40)),
     ]
     # Most of what a text's words before the sign say is left to chance by the lead.
     kinds = true + false
