@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import exact_dedup, html, near_dedup, packing, passages, quality, secrets, sentencepiece, suffix_dedup, topk
+from slotwise.llm import exact_dedup, fill_middle, frames, html, lexical, near_dedup, packing, passages, quality, secrets, sentencepiece, suffix_dedup, topk
 from slotwise.llm.common import table
 
 
@@ -63,9 +63,32 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_token_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as ids in files of frames, and what these files give back."""
+    files = frames.write_tokens(table(spark, folder, "documents"))
+    return frames.read_tokens(files).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 documents that rank highest for each benchmark item."""
+    found = lexical.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnRenamed("query_id", "item_id")
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in its form, and whether its text can be had back."""
+    rows = fill_middle.transform(table(spark, folder, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_quality_classifier, op2_secret_scan, op3_html_extraction, op4_sentencepiece, op5_passage_dedup, op6_exact_top_k,
         op7_packing, op8_exact_dedup, op9_suffix_array_dedup, op10_minhash_near_dedup,
+        op11_token_frames, op12_ranked_search, op13_fill_in_middle,
     )
     return {f.__name__: f for f in listed}
