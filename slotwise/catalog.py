@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.timeslots import fixed
-from slotwise.operators import fitted, forecasts, grid, periods, profile, rolling, states
+from slotwise.operators import arima, fitted, forecasts, grid, periods, profile, rolling, states
 from slotwise.params import SERIES, TS, Params
 from slotwise.plans import anomalies as anomaly_plan
 from slotwise.plans import shutdowns as shutdown_plan
@@ -422,14 +422,14 @@ def forecast_gbt(spark, folder):
 
 
 def forecast_arima(spark, folder):
-    return forecasts.complete(fitted.arima_forecasts(recent(spark, folder), TARGET, P))
+    return forecasts.complete(arima.arima_forecasts(recent(spark, folder), TARGET, P))
 
 
 def forecast_coverage(spark, folder):
-    """Origins per series, and how many of those with an observed target ARIMA answers: all, from the
-    second day of the slice on, as the first refit fold has nothing to learn from."""
+    """Origins per series, and how many of those with an observed target ARIMA answers: all that have
+    ``least_rows`` observations up to them."""
     rows = recent(spark, folder)
-    found = forecasts.complete(fitted.arima_forecasts(rows, TARGET, P)).groupBy(SERIES).agg(F.count(F.lit(1)).alias("arima"))
+    found = forecasts.complete(arima.arima_forecasts(rows, TARGET, P)).groupBy(SERIES).agg(F.count(F.lit(1)).alias("arima"))
     series = forecasts.target_slots(rows, TARGET, P)
     origins = forecasts.walk_forward_origins(series, P).groupBy(SERIES).agg(F.count(F.lit(1)).alias("origins"))
     return origins.join(found, SERIES, "left").select(SERIES, "origins", F.coalesce("arima", F.lit(0).cast("bigint")).alias("arima"))

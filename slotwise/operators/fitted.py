@@ -1,14 +1,11 @@
-"""Forecasts by fitted models: boosted trees on lags and an ARIMA order search."""
+"""Forecasts by boosted trees on lags."""
 
 from __future__ import annotations
 
 import datetime as dt
 import sys
 from functools import reduce
-from itertools import product
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -20,7 +17,7 @@ from slotwise.functions.fits import side_by_side
 from slotwise.functions.timeslots import slot_start
 from slotwise.operators.forecasts import FORECAST_COLUMNS, target_slots, walk_forward_origins
 from slotwise.operators.grid import SLOT
-from slotwise.params import DAY_SECONDS, SERIES, TS, Params
+from slotwise.params import SERIES, TS, Params
 from slotwise.sources.staging import place, stage, stage_in_place
 
 # The helpers below travel with the tasks, so that executors need no copy of this package.
@@ -104,151 +101,5 @@ def boosted_tree_forecasts(grid: DataFrame, target: str, params: Params) -> Data
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def arima_forecasts(grid: DataFrame, target: str, params: Params) -> DataFrame:
-    """ARIMA order search per series and refit fold, all folds in parallel.
-
-    A fold holds the training days before it and its own origins, which bounds a task however
-    long the series is. The order with the lowest AIC is rolled to every origin of the fold, over
-    missing slots too: from the last observation to the horizon after the origin.
-    """
-    rows = target_slots(grid, target, params)
-    origins = walk_forward_origins(rows, params).select(SERIES, SLOT, F.lit(True).alias("is_origin"))
-    marked = rows.join(origins, [SERIES, SLOT], "left")
-    fold_slots = params.arima_refit_days * DAY_SECONDS // params.step
-    folds_back = -(-params.arima_train_days // params.arima_refit_days)
-    own = F.floor(F.col(SLOT) / F.lit(fold_slots))
-    copies = marked.select(
-        SERIES, SLOT, "y", F.coalesce("is_origin", F.lit(False)).alias("is_origin"),
-        F.explode(F.sequence(own, own + folds_back)).alias("fold"),
-    )
-    # A target slot of the last origins may lie after the fold; it is joined afterwards.
-    orders = list(product(params.arima_p, params.arima_d, params.arima_q))
-    horizon = params.horizon
-    key_type = rows.schema[SERIES].dataType.simpleString()
-    schema = f"`{SERIES}` {key_type}, slot bigint, y_pred double, p int, d int, q int"
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SLOT)
-        y = pdf["y"].to_numpy(float)
-        slot = pdf[SLOT].to_numpy()
-        start = int(pdf["fold"].iloc[0]) * fold_slots
-        at = np.flatnonzero(pdf["is_origin"].to_numpy(bool) & (slot >= start))
-        seen = np.isfinite(y)
-        train = y[seen & (slot < start)]
-        empty = pd.DataFrame({c: [] for c in (SERIES, "slot", "y_pred", "p", "d", "q")})
-        if not len(at):
-            return empty
-        fit = best_order(train, orders)
-        if fit is None:
-            return empty
-        observed = y[seen]
-        count = np.cumsum(seen)[at]  # observations up to and including each origin
-        usable = count > fit.burn_in
-        late = slot[at] - slot[seen][np.maximum(count, 1) - 1]  # slots since the last observation
-        pred = fit.forecast(observed, count[usable], horizon + late[usable])
-        p, d, q = fit.order
-        return pd.DataFrame(
-            {SERIES: pdf[SERIES].iloc[0], "slot": slot[at[usable]], "y_pred": pred, "p": p, "d": d, "q": q}
-        )
-
-    found = copies.groupBy(SERIES, "fold").applyInPandas(search, schema)
-    found = found.withColumn("_target", F.col(SLOT) + horizon)
-    truth = rows.select(SERIES, F.col(SLOT).alias("_target"), F.col("y").alias("y_true"))
-    return found.join(truth, [SERIES, "_target"], "left").select(
-        SERIES, slot_start(SLOT, params.step).alias("origin"), slot_start("_target", params.step).alias(TS),
-        F.lit("arima").alias("model"), "y_true", "y_pred", "p", "d", "q",
-    )
-
-
-class ArimaFit:
-    """Coefficients of one order: intercept, p autoregressive and q moving-average terms."""
-
-    def __init__(self, order, const, ar, ma, aic):
-        self.order, self.const, self.ar, self.ma, self.aic = order, const, ar, ma, aic
-        self.burn_in = max(order[0], order[2]) + order[1] + 1
-
-    def residuals(self, w: np.ndarray) -> np.ndarray:
-        """One-step errors with zero starting errors."""
-        p, q = len(self.ar), len(self.ma)
-        base = w - self.const
-        for i, a in enumerate(self.ar, 1):
-            base[i:] -= a * w[:-i]
-        base[:p] = 0.0
-        if not q or not len(base):
-            return base
-        # The moving-average part is undone by the impulse response of its inverse, which dies out
-        # for the invertible orders that are kept.
-        response = [1.0]
-        while len(response) < len(w) and max(abs(r) for r in response[-q:]) > 1e-14:
-            response.append(-sum(m * r for m, r in zip(self.ma, response[::-1])))
-        return np.convolve(base, response)[: len(w)]
-
-    def forecast(self, observed: np.ndarray, counts: np.ndarray, steps: np.ndarray | int) -> np.ndarray:
-        """Value ``steps`` after the first ``counts`` observations, for all counts at once."""
-        d = self.order[1]
-        w = np.diff(observed, d) if d else observed.astype(float)
-        e = self.residuals(w.copy())
-        last = counts - 1 - d
-        past_w = [w[last - i] for i in range(len(self.ar))]
-        past_e = [e[last - i] for i in range(len(self.ma))]
-        level = observed[counts - 1].astype(float)
-        steps = np.broadcast_to(steps, len(counts))
-        found = level.copy()
-        for k in range(1, int(steps.max(initial=0)) + 1):
-            step = self.const + sum(a * x for a, x in zip(self.ar, past_w)) + sum(m * x for m, x in zip(self.ma, past_e))
-            step = step + np.zeros(len(counts))
-            past_w = [step, *past_w][: len(self.ar)]
-            past_e = [np.zeros(len(counts)), *past_e][: len(self.ma)]
-            level = level + step if d else step
-            found = np.where(steps == k, level, found)
-        return found
-
-
-def fit_order(y: np.ndarray, order: tuple[int, int, int]) -> ArimaFit | None:
-    """Two-stage least squares (Hannan and Rissanen, 1982) with a conditional-likelihood AIC."""
-    p, d, q = order
-    w = np.diff(y, d) if d else y
-    terms = p + q + (0 if d else 1)
-    skip = 0
-    shocks = None
-    long = min(max(10, 2 * (p + q)), len(w) // 4) if q else 0
-    if len(w) - max(p, long + q) <= terms + 2:
-        return None
-    if q:
-        design = _lagged(w, long)
-        coef, *_ = np.linalg.lstsq(design, w[long:], rcond=None)
-        shocks = np.concatenate([np.zeros(long), w[long:] - design @ coef])
-        skip = long
-    first = max(p, skip + q)
-    columns = [np.ones(len(w) - first)] if not d else []
-    columns += [w[first - i : len(w) - i] for i in range(1, p + 1)]
-    columns += [shocks[first - j : len(w) - j] for j in range(1, q + 1)]
-    if columns:
-        coef, *_ = np.linalg.lstsq(np.column_stack(columns), w[first:], rcond=None)
-    else:
-        coef = np.zeros(0)
-    const, rest = (coef[0], coef[1:]) if not d else (0.0, coef)
-    fit = ArimaFit(order, float(const), rest[:p], rest[p:], np.inf)
-    if np.abs(np.roots([1.0, *rest[p:]])).max(initial=0.0) >= 1.0:
-        return None
-    e = fit.residuals(w.astype(float).copy())[max(p, 1) :]
-    variance = float(np.mean(e * e))
-    if not np.isfinite(variance) or variance <= 0:
-        return None
-    fit.aic = len(e) * (np.log(2 * np.pi * variance) + 1.0) + 2 * (len(coef) + 1)
-    return fit
-
-
-def best_order(y: np.ndarray, orders) -> ArimaFit | None:
-    """Lowest AIC, the first order on a tie; orders that cannot be fitted are skipped."""
-    fits = [f for f in (fit_order(y, tuple(o)) for o in orders) if f is not None]
-    return min(fits, key=lambda f: f.aic) if fits else fit_order(y, (1, 1, 1))
-
-
-def _lagged(w: np.ndarray, lags: int) -> np.ndarray:
-    n = len(w) - lags
-    return np.column_stack([np.ones(n), *[w[lags - i : lags - i + n] for i in range(1, lags + 1)]])
-
-
 def as_forecasts(df: DataFrame) -> DataFrame:
     return df.select(*FORECAST_COLUMNS)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import Carry, attach, carry, over_chunks
@@ -32,20 +32,28 @@ def with_figures(rows: DataFrame, params: Params) -> DataFrame:
     return attach(rows, figures, [SERIES], [SLOT])
 
 
-def walk_forward_origins(rows: DataFrame, params: Params, *, test_from_days: int | None = None) -> DataFrame:
-    """Keeps the origins: from one season after the first slot on, one per horizon, with a target
-    inside the series. ``test_from_days`` starts instead that many days before the last day."""
-    located = rows if "first_slot" in rows.columns else with_figures(rows, params)
+def is_origin(params: Params, *, test_from_days: int | None = None) -> Column:
+    """Whether a slot with the figures of its series is an origin: from one season after the first slot
+    on, one per horizon, with a target inside the series. ``test_from_days`` starts instead that many
+    days before the last day."""
     ordinal = F.col(SLOT) - F.col("first_slot")
     keep = (
         (ordinal >= params.season)
         & (F.pmod(ordinal - params.season, F.lit(params.horizon)) == 0)
         & (F.col(SLOT) < F.col("last_slot") + 1 - params.horizon)
     )
-    if test_from_days is not None:
-        last_day = F.date_sub(slot_start("last_slot", params.step).cast("date"), test_from_days).cast("timestamp_ntz")
-        keep = keep & (F.col(TS) >= last_day)
-    return located.filter(keep).withColumn("ordinal", ordinal).drop("first_slot", "last_slot", "y_mean")
+    if test_from_days is None:
+        return keep
+    last_day = F.date_sub(slot_start("last_slot", params.step).cast("date"), test_from_days).cast("timestamp_ntz")
+    return keep & (F.col(TS) >= last_day)
+
+
+def walk_forward_origins(rows: DataFrame, params: Params, *, test_from_days: int | None = None) -> DataFrame:
+    """Keeps the origins of a table of slots and counts their slots from the first one."""
+    located = rows if "first_slot" in rows.columns else with_figures(rows, params)
+    ordinal = F.col(SLOT) - F.col("first_slot")
+    kept = located.filter(is_origin(params, test_from_days=test_from_days))
+    return kept.withColumn("ordinal", ordinal).drop("first_slot", "last_slot", "y_mean")
 
 
 def last_observation(rows: DataFrame, params: Params, *, value: str = "y", name: str = "y_last") -> DataFrame:

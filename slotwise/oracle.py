@@ -454,9 +454,9 @@ def oracle_sql() -> dict[str, str]:
         " (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE FROM events)"
     )
     sql["forecast_coverage"] = back + (
-        "SELECT series_id, count(*) AS origins, count(CASE WHEN y_true IS NOT NULL AND slot >= first_fold THEN 1 END) AS arima"
-        " FROM origins JOIN (SELECT series_id, (min(slot) // 288 + 1) * 288 AS first_fold FROM recent WHERE y IS NOT NULL"
-        " GROUP BY 1) USING (series_id) GROUP BY 1"
+        "SELECT series_id, count(*) AS origins, count(CASE WHEN y_true IS NOT NULL AND seen >= 35 THEN 1 END) AS arima"
+        " FROM origins JOIN (SELECT series_id, slot, count(y) OVER (PARTITION BY series_id ORDER BY slot) AS seen FROM recent)"
+        " USING (series_id, slot) GROUP BY 1"
     )
     sql["stream_gaps"] = with_(
         "marked AS (SELECT user_id % 4 AS series_id, ts, lag(ts) OVER (PARTITION BY user_id % 4 ORDER BY ts) AS before FROM events)",

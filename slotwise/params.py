@@ -43,8 +43,7 @@ class Params:
     gbt_rate: float = 0.1
     gbt_depth: int = 3
     gbt_refit_days: int = 7
-    arima_refit_days: int = 1
-    arima_train_days: int = 14
+    arima_long: int = 10
     arima_p: tuple[int, ...] = (0, 1, 2)
     arima_d: tuple[int, ...] = (0, 1)
     arima_q: tuple[int, ...] = (0, 1, 2)

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from slotwise.operators.fitted import arima_forecasts, as_forecasts, boosted_tree_forecasts
+from slotwise.operators.arima import arima_forecasts
+from slotwise.operators.fitted import as_forecasts, boosted_tree_forecasts
 from slotwise.operators.forecasts import (
     backtest_metrics, best_forecast_tail, best_model, complete, union_models, window_forecasts,
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from series import START, collected, frame, values
 from slotwise.functions.timeslots import fixed
-from slotwise.operators import fitted, forecasts, grid, periods, profile
+from slotwise.operators import arima, fitted, forecasts, grid, periods, profile
 from slotwise.params import Params
 from slotwise.sources import staging, telemetry
 from slotwise.streaming import resample
@@ -79,23 +79,10 @@ def test_arima_counts_missing_slots(spark):
     y[origin - 6 : origin + 1] = np.nan
     pdf = pd.DataFrame({"series_id": 0, "ts": slots(n), "v": y})
     params = P.with_(arima_p=(1,), arima_d=(1,), arima_q=(0,))
-    found = fitted.arima_forecasts(frame(spark, pdf), "v", params).toPandas().set_index("origin")
+    found = arima.arima_forecasts(frame(spark, pdf), "v", params).toPandas().set_index("origin")
     assert found.loc[pdf["ts"][origin], "y_pred"] == pytest.approx(origin + 12, abs=1e-6)
 
 
-def test_residuals_equal_the_recursion():
-    rng = np.random.default_rng(2)
-    w = rng.normal(size=300)
-    fit = fitted.ArimaFit((1, 0, 2), 0.2, np.array([0.5]), np.array([0.6, -0.3]), 0.0)
-    base = w - 0.2
-    base[1:] -= 0.5 * w[:-1]
-    base[0] = 0.0
-    e = np.zeros(300)
-    for t in range(1, 300):
-        e[t] = base[t] - sum(fit.ma[j] * e[t - 1 - j] for j in range(min(2, t)))
-    assert np.allclose(fit.residuals(w.copy()), e)
-
-
 def test_trees_answer_every_origin_once_rows_exist(spark):
     hourly = P.with_(step_min=60, horizon_min=60, lags_min=180, gbt_trees=2, gbt_refit_days=5, min_train_rows=100)
     v = values(30 * 24, series=1, holes=0.0, step=60)

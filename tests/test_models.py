@@ -255,7 +255,7 @@ def test_metrics_best_and_tail(spark):
     assert forecasts.best_forecast_tail(table, P.with_(season_min=10), days=1).count() == 2
 
 
-HOURLY = P.with_(step_min=60, horizon_min=60, lags_min=180, gbt_trees=5, gbt_refit_days=5, arima_refit_days=3)
+HOURLY = P.with_(step_min=60, horizon_min=60, lags_min=180, gbt_trees=5, gbt_refit_days=5)
 
 
 def hourly(spark, y):
@@ -280,31 +280,6 @@ def test_boosted_trees_need_training_rows(spark):
     assert fitted.boosted_tree_forecasts(hourly(spark, daily_wave(150)), "v", HOURLY) is None
 
 
-def test_arima_beats_persistence_on_autoregression(spark):
-    y = ar1(1400, slope=0.5)
-    params = HOURLY.with_(min_train_rows=100)
-    got = forecasts.complete(fitted.arima_forecasts(hourly(spark, y), "v", params))
-    arima = forecasts.backtest_metrics(fitted.as_forecasts(got)).first()
-    naive = forecasts.backtest_metrics(
-        forecasts.window_forecasts(hourly(spark, y), "v", params).filter("model = 'naive'")
-    ).first()
-    assert arima["n"] > 500 and arima["rmse"] < 0.9 * naive["rmse"]
-
-
-def test_arima_pieces():
-    fit = fitted.fit_order(ar1(5000, slope=0.7), (1, 0, 0))
-    assert fit.ar[0] == pytest.approx(0.7, abs=0.03)
-    rng = np.random.default_rng(5)
-    e = rng.normal(size=6000)
-    ma = fitted.fit_order(e[1:] + 0.6 * e[:-1] + 3, (0, 0, 1))
-    assert ma.ma[0] == pytest.approx(0.6, abs=0.05)
-    walk = fitted.fit_order(np.cumsum(e), (0, 1, 0))
-    assert walk.forecast(np.arange(10.0), np.array([5, 10]), 3).tolist() == [4.0, 9.0]
-    assert fitted.fit_order(np.arange(5.0), (2, 1, 2)) is None
-    white = fitted.best_order(e[:1500] + 7, [(0, 0, 0), (1, 0, 0), (0, 1, 0)])
-    assert white.order[1] == 0
-
-
 def test_whole_backtest(spark):
     got = backtest.backtest(hourly(spark, daily_wave(600, noise=1.0)), "v", HOURLY)
     models = {r["model"] for r in got.metrics.collect()}
