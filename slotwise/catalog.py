@@ -17,6 +17,7 @@ from slotwise.plans import states as state_plan
 from slotwise.sources import tables
 from slotwise.sources.staging import shared_folder, stage
 from slotwise.sources.telemetry import clean
+from slotwise.streaming import gaps
 from slotwise.streaming import resample as streaming
 
 P = Params()
@@ -486,14 +487,15 @@ def stream_resample(spark, folder):
 
 
 def stream_gaps(spark, folder):
-    """The gap report of the stream over closed time."""
+    """Gaps as the stream reports them, up to its last watermark."""
     schema = tables.table(spark, folder, "events").schema
-    raw = streaming.read_stream(spark, folder, schema, pathGlobFilter="events.parquet")
+    session = gaps.timer_session(spark)
+    raw = streaming.read_stream(session, folder, schema, pathGlobFilter="events.parquet")
     readings = raw.select((F.col("user_id") % tables.SERIES_COUNT).alias(SERIES), TS)
     run = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    out = streaming.stream_sessions(readings, 15, lateness=LATENESS)
-    streaming.write_stream(out, f"{run}/sessions", f"{run}/progress").awaitTermination()
-    return round_doubles(streaming.session_gaps(spark.read.schema(out.schema).parquet(f"{run}/sessions"), 15))
+    out = gaps.stream_gap_report(readings, 15, lateness=LATENESS)
+    streaming.write_stream(out, f"{run}/gaps", f"{run}/progress").awaitTermination()
+    return round_doubles(spark.read.schema(out.schema).parquet(f"{run}/gaps"))
 
 
 _QUERIES = (

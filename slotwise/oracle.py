@@ -460,12 +460,9 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["stream_gaps"] = with_(
         "marked AS (SELECT user_id % 4 AS series_id, ts, lag(ts) OVER (PARTITION BY user_id % 4 ORDER BY ts) AS before FROM events)",
-        "sessions AS (SELECT series_id, ts, before, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 15 MINUTE THEN 1 ELSE 0 END)"
-        " OVER (PARTITION BY series_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n FROM marked)",
-        "closed AS (SELECT series_id, n FROM sessions GROUP BY 1, 2 HAVING max(ts) + INTERVAL 15 MINUTE <="
-        " (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE FROM events))",
+        "passed AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE AS mark FROM events)",
     ) + (
         "SELECT series_id, before AS gap_start, ts AS gap_end, " + rnd("(epoch_us(ts) - epoch_us(before)) / 60e6")
-        + " AS gap_min FROM sessions JOIN closed USING (series_id, n) WHERE ts - before > INTERVAL 15 MINUTE"
+        + " AS gap_min FROM marked, passed WHERE ts - before > INTERVAL 15 MINUTE AND ts < mark"
     )
     return sql

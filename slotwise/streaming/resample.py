@@ -1,14 +1,14 @@
-"""Slot means and gap reports over arriving readings, independent of the session's time zone."""
+"""Slot means over arriving readings, independent of the session's time zone."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from slotwise.functions.timeslots import epoch_seconds_exact, minutes_between, slot_start
+from slotwise.functions.timeslots import epoch_seconds_exact, slot_start
 from slotwise.params import SERIES, TS, Params
 
 
@@ -20,7 +20,7 @@ def stream_resample(readings: DataFrame, sensors: Sequence[str], params: Params,
     """Slot means of a stream. A slot is emitted once, when the watermark has passed it; readings
     later than ``lateness`` are dropped."""
     means = (
-        _instants(readings)
+        instants(readings)
         .withWatermark(TS, lateness)
         .groupBy(SERIES, F.window(TS, f"{params.step} seconds").alias("_w"))
         .agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in sensors])
@@ -29,34 +29,14 @@ def stream_resample(readings: DataFrame, sensors: Sequence[str], params: Params,
     return means.withColumn("_slot", slot).select(SERIES, slot_start("_slot", params.step).alias(TS), *sensors)
 
 
-def stream_sessions(readings: DataFrame, max_gap_min: int, *, lateness: str) -> DataFrame:
-    """Unbroken stretches of readings per series, emitted once they are closed: ``first`` and ``last``
-    reading, which is all that a gap report needs to keep of a stream."""
-    sessions = (
-        _instants(readings)
-        .withWatermark(TS, lateness)
-        .groupBy(SERIES, F.session_window(TS, f"{max_gap_min} minutes").alias("_w"))
-        .agg(F.min(TS).alias("_first"), F.max(TS).alias("_last"))
-    )
-    return sessions.select(SERIES, _wall("_first").alias("first"), _wall("_last").alias("last"))
-
-
-def session_gaps(sessions: DataFrame, max_gap_min: int) -> DataFrame:
-    """Gaps between the closed sessions of each series: ``gap_start, gap_end, gap_min``."""
-    before = Window.partitionBy(SERIES).orderBy("first")
-    gaps = sessions.withColumn("gap_start", F.lag("last").over(before)).filter(F.col("gap_start").isNotNull())
-    gaps = gaps.withColumnRenamed("first", "gap_end").withColumn("gap_min", minutes_between("gap_start", "gap_end"))
-    return gaps.filter(F.col("gap_min") > max_gap_min).select(SERIES, "gap_start", "gap_end", "gap_min")
-
-
-def _instants(readings: DataFrame) -> DataFrame:
+def instants(readings: DataFrame) -> DataFrame:
     """``ts`` as an instant, its wall clock read as UTC: watermarks need instants, and the session's zone
     must not move a slot."""
     micros = F.round(epoch_seconds_exact(TS) * 1_000_000).cast("bigint")
     return readings.withColumn(TS, F.timestamp_micros(micros))
 
 
-def _wall(name: str) -> Column:
+def wall(name: str) -> Column:
     """Back to the wall clock."""
     micros = F.unix_micros(name)
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(

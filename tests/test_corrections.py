@@ -10,6 +10,7 @@ from slotwise.functions.timeslots import fixed
 from slotwise.operators import arima, fitted, forecasts, grid, periods, profile
 from slotwise.params import Params
 from slotwise.sources import staging, telemetry
+from slotwise.streaming import gaps as stream_gaps
 from slotwise.streaming import resample
 
 P = Params()
@@ -117,10 +118,11 @@ def test_streams_do_not_depend_on_the_zone(spark, tmp_path, zone):
         for step in (5, 1440):
             out = resample.stream_resample(rows, ["v"], P.with_(step_min=step), lateness="10 minutes")
             resample.write_stream(out, str(tmp_path / f"out{step}"), str(tmp_path / f"progress{step}")).awaitTermination()
-        sessions = resample.stream_sessions(rows, 15, lateness="10 minutes")
-        resample.write_stream(sessions, str(tmp_path / "s"), str(tmp_path / "ps")).awaitTermination()
+        timed = resample.read_stream(stream_gaps.timer_session(spark), str(tmp_path / "in"), "series_id bigint, ts timestamp_ntz, v double")
+        report = stream_gaps.stream_gap_report(timed, 15, lateness="10 minutes")
+        resample.write_stream(report, str(tmp_path / "s"), str(tmp_path / "ps")).awaitTermination()
         got = {s: [(r.ts, r.v) for r in spark.read.parquet(str(tmp_path / f"out{s}")).orderBy("ts").collect()] for s in (5, 1440)}
-        gaps = resample.session_gaps(spark.read.parquet(str(tmp_path / "s")), 15).orderBy("gap_start").collect()
+        gaps = spark.read.parquet(str(tmp_path / "s")).orderBy("gap_start").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got[5] == [(start + pd.Timedelta(minutes=m // 5 * 5), float(m)) for m in minutes[:-1]]
