@@ -12,6 +12,7 @@ from slotwise.functions.timeslots import fixed
 from slotwise.operators import arima, fitted, forecasts, grid, periods, profile, rolling, states
 from slotwise.params import SERIES, TS, Params
 from slotwise.plans import anomalies as anomaly_plan
+from slotwise.plans import backtest as backtest_plan
 from slotwise.plans import shutdowns as shutdown_plan
 from slotwise.plans import states as state_plan
 from slotwise.sources import tables
@@ -320,9 +321,9 @@ def anomaly_lead_time(spark, folder):
 
 
 def _states(spark: SparkSession, folder: str) -> tuple[DataFrame, state_plan.States]:
-    rows = base(spark, folder, HOURLY)
-    down = shutdown_plan.shutdowns_on_grid(rows, FEW_LIMITS, HOURLY)
-    return rows, state_plan.operating_states(rows, SENSORS, HOURLY, shutdowns=down)
+    rows = base(spark, folder)
+    down = shutdown_plan.shutdowns_on_grid(rows, LIMITS, P)
+    return rows, state_plan.operating_states(rows, SENSORS, P, shutdowns=down)
 
 
 def kmeans_sweep(spark, folder):
@@ -339,7 +340,7 @@ def cluster_summary(spark, folder):
 
 
 def pca_scatter(spark, folder):
-    return state_plan.scatter(_states(spark, folder)[1], HOURLY)
+    return state_plan.scatter(_states(spark, folder)[1], P)
 
 
 def state_isolation_forest(spark, folder):
@@ -408,13 +409,22 @@ def best_model(spark, folder):
     return round_doubles(forecasts.best_model(forecasts.backtest_metrics(window_forecasts(spark, folder))), 4)
 
 
+def backtest_folds(spark, folder):
+    """Metrics per fold, and in all with a null fold."""
+    return round_doubles(forecasts.fold_metrics(window_forecasts(spark, folder), P), 4)
+
+
+def backtest_all(spark, folder):
+    """The same for all five models: persistence, season, AR(1), ARIMA, boosted trees."""
+    return round_doubles(backtest_plan.backtest(recent(spark, folder), TARGET, P).folds, 4)
+
+
 def forecast_tail(spark, folder):
     return round_doubles(forecasts.best_forecast_tail(window_forecasts(spark, folder), P), 4)
 
 
 def forecast_gbt(spark, folder):
-    rows = stage(grid.trailing_slice(filled(spark, folder, HOURLY), HOURLY))
-    found = fitted.boosted_tree_forecasts(rows, TARGET, HOURLY)
+    found = fitted.boosted_tree_forecasts(recent(spark, folder), TARGET, P)
     if found is None:
         return spark.createDataFrame(
             [], f"{SERIES} bigint, origin timestamp_ntz, {TS} timestamp_ntz, model string, y_true double, y_pred double"
@@ -509,7 +519,7 @@ _QUERIES = (
     contextual_anomalies, asof_last_value, walk_forward_origins, walk_forward_origins_late, seasonality_test,
     ar1_expanding, forecast_naive, forecast_seasonal_naive, forecast_union, backtest_metrics, best_model,
     forecast_tail, forecast_gbt, forecast_arima, long_series_grid, long_series_shutdowns, long_series_profile,
-    long_series_outliers, long_series_states, stream_resample, stream_gaps, forecast_coverage,
+    long_series_outliers, long_series_states, stream_resample, stream_gaps, forecast_coverage, backtest_folds, backtest_all,
 )
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import Carry, attach, carry, over_chunks
-from slotwise.functions.timeslots import slot_of, slot_start
+from slotwise.functions.timeslots import epoch_seconds, slot_of, slot_start
 from slotwise.operators.grid import SLOT, tail_rows
-from slotwise.params import SERIES, TS, Params
+from slotwise.params import DAY_SECONDS, SERIES, TS, Params
 
 FORECAST_COLUMNS = (SERIES, "origin", TS, "model", "y_true", "y_pred")
 
@@ -161,6 +161,22 @@ def backtest_metrics(forecasts: DataFrame, *, keys: Sequence[str] = (SERIES,)) -
     )
 
 
+def fold_metrics(forecasts: DataFrame, params: Params, *, keys: Sequence[str] = (SERIES,)) -> DataFrame:
+    """``backtest_metrics`` per fold and, with a null ``fold``, of all folds together, in one pass.
+
+    A fold is as long as the models' refit interval and counts from the series' first origin."""
+    done = complete(forecasts)
+    start = done.groupBy(*keys).agg(F.min("origin").alias("_start"))
+    passed = epoch_seconds("origin") - epoch_seconds("_start")
+    fold = F.floor(passed / F.lit(float(params.gbt_refit_days * DAY_SECONDS))).cast("int")
+    rows = attach(done, start, keys, ["origin", "model"]).withColumn("fold", fold)
+    error = F.col("y_true") - F.col("y_pred")
+    names = [*keys, "model", "fold"]
+    return rows.groupingSets([[F.col(c) for c in names], [F.col(c) for c in names[:-1]]], *names).agg(
+        F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse"), F.count(F.lit(1)).alias("n")
+    )
+
+
 def best_model(metrics: DataFrame) -> DataFrame:
     """Lowest RMSE per series; the name decides a tie."""
     w = Window.partitionBy(SERIES).orderBy("rmse", "model")

@@ -1,24 +1,19 @@
-"""Operating states: standardised features, k-means sweep, labels, summaries."""
+"""Operating states: standardised features, labels, summaries."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import attach
-from slotwise.functions.fits import side_by_side
+from slotwise.operators.kmeans import CLUSTER, POINT
 from slotwise.operators.profile import describe
 from slotwise.params import SERIES, TS, Params
-from slotwise.sources.staging import place
 
-CLUSTER = "cluster"
 FEATURES = "features"
 
 
@@ -34,67 +29,10 @@ def standardize(
     return rows.withColumns({c: F.expr(f"(`{c}` - `_m_{c}`) / `_d_{c}`") for c in columns}).select(*df.columns)
 
 
-def to_vectors(
-    df: DataFrame, columns: Sequence[str], rows: int, keep: Sequence[str] = (SERIES, TS)
-) -> DataFrame:
-    """One vector column, placed by key for a fit; ``rows`` is the number of rows."""
-    vectors = VectorAssembler(inputCols=list(columns), outputCol=FEATURES).transform(df)
-    return place(vectors.select(*keep, FEATURES), keep, rows)
-
-
-@dataclass(frozen=True)
-class Sweep:
-    """Outcome of fitting each k: the chosen model and the ``(k, inertia, silhouette)`` table."""
-
-    model: KMeansModel
-    k: int
-    curve: list[tuple[int, float, float]]
-
-    def table(self, df: DataFrame) -> DataFrame:
-        return df.sparkSession.createDataFrame(self.curve, "k INT, inertia DOUBLE, silhouette DOUBLE")
-
-    def order(self) -> list[int]:
-        """Model cluster id -> id by ascending centre, which does not depend on the fit's order."""
-        centres = [tuple(c) for c in self.model.clusterCenters()]
-        ranked = sorted(range(len(centres)), key=lambda i: centres[i])
-        return [ranked.index(i) for i in range(len(centres))]
-
-    def label(self, vectors: DataFrame) -> DataFrame:
-        ids = F.array(*[F.lit(i) for i in self.order()])
-        return self.model.transform(vectors).withColumn(CLUSTER, ids[F.col("prediction")]).drop("prediction")
-
-
-def kmeans_sweep(vectors: DataFrame, params: Params) -> Sweep:
-    """Fit every k from kmin to kmax; the highest silhouette wins, the first one on a tie.
-
-    ``vectors`` is read by many jobs: pass it staged in place. Silhouettes are squared-Euclidean and over
-    all rows.
-    """
-    evaluator = ClusteringEvaluator(featuresCol=FEATURES, predictionCol="prediction")
-    spark = vectors.sparkSession
-    starts = [(k, i) for k in range(params.kmin, params.kmax + 1) for i in range(max(1, params.n_init))]
-
-    def fit(start: tuple[int, int]) -> KMeansModel:
-        k, i = start
-        return KMeans(k=k, seed=params.seed + i, featuresCol=FEATURES).fit(vectors)
-
-    cheapest: dict[int, KMeansModel] = {}
-    for (k, _), model in zip(starts, side_by_side(spark, fit, starts, params.parallel_fits)):
-        if k not in cheapest or model.summary.trainingCost < cheapest[k].summary.trainingCost:
-            cheapest[k] = model
-
-    def judge(k: int) -> float:
-        return float(evaluator.evaluate(cheapest[k].transform(vectors))) if k > 1 else -1.0
-
-    scores = dict(zip(cheapest, side_by_side(spark, judge, list(cheapest), params.parallel_fits)))
-    curve = [(k, float(cheapest[k].summary.trainingCost), scores[k]) for k in sorted(cheapest)]
-    best = max(sorted(cheapest), key=lambda k: scores[k])
-    return Sweep(model=cheapest[best], k=best, curve=curve)
-
-
-def principal_axes(vectors: DataFrame, params: Params, keep: Sequence[str] = (SERIES, TS)) -> DataFrame:
-    """First principal components of centred vectors as ``pc1, pc2, ...``."""
+def principal_axes(points: DataFrame, params: Params, keep: Sequence[str] = (SERIES, TS)) -> DataFrame:
+    """First principal components of centred points as ``pc1, pc2, ...``."""
     n = params.pca_components
+    vectors = points.select(*keep, array_to_vector(POINT).alias(FEATURES))
     model = PCA(k=n, inputCol=FEATURES, outputCol="_pc").fit(vectors)
     axes = vector_to_array(F.col("_pc"))
     return model.transform(vectors).select(*keep, *[axes[i].alias(f"pc{i + 1}") for i in range(n)])

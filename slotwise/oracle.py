@@ -433,6 +433,13 @@ def oracle_sql() -> dict[str, str]:
     sql["forecast_seasonal_naive"] = with_(*recent_ctes(-1.0)) + f"SELECT {FORECAST}, {both} FROM done WHERE model LIKE 'seasonal%'"
     sql["forecast_union"] = back + f"SELECT {FORECAST}, {both4} FROM predicted"
     sql["backtest_metrics"] = back + f"SELECT series_id, model, {rounded(('mae', 'rmse'), 4)}, n FROM metrics"
+    sql["backtest_folds"] = with_(
+        *recent_ctes(),
+        "dealt AS (SELECT *, CAST(floor((epoch(origin) - min(epoch(origin)) OVER (PARTITION BY series_id)) / 604800) AS INTEGER) AS fold FROM done)",
+        "by_fold AS (SELECT series_id, model, fold, avg(abs(y_true - y_pred)) AS mae,"
+        " sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse, count(*) AS n FROM dealt"
+        " GROUP BY GROUPING SETS ((series_id, model, fold), (series_id, model)))",
+    ) + f"SELECT series_id, model, fold, {rounded(('mae', 'rmse'), 4)}, n FROM by_fold"
     sql["best_model"] = back + f"SELECT series_id, model, {rounded(('mae', 'rmse'), 4)}, n FROM best"
     sql["forecast_tail"] = back + (
         f"SELECT series_id, origin, ts, d.model, {both4} FROM done d JOIN best b USING (series_id) WHERE d.model = b.model"

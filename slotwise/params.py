@@ -26,7 +26,8 @@ class Params:
     mad_z: float = 6.0
     kmin: int = 2
     kmax: int = 5
-    n_init: int = 3
+    n_init: int = 20
+    sample_rows: int = 20_000
     pca_components: int = 2
     n_trees: int = 200
     tree_rows: int = 256

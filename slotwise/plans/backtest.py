@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from slotwise.operators.arima import arima_forecasts
 from slotwise.operators.fitted import as_forecasts, boosted_tree_forecasts
 from slotwise.operators.forecasts import (
-    backtest_metrics, best_forecast_tail, best_model, complete, union_models, window_forecasts,
+    backtest_metrics, best_forecast_tail, best_model, complete, fold_metrics, union_models, window_forecasts,
 )
 from slotwise.operators.grid import trailing_slice
 from slotwise.params import Params
@@ -21,6 +21,7 @@ from slotwise.sources.staging import stage
 class Backtest:
     forecasts: DataFrame
     metrics: DataFrame
+    folds: DataFrame
     best: DataFrame
     tail: DataFrame
 
@@ -39,4 +40,6 @@ def backtest(
             tables.append(boosted)
     forecasts = stage(complete(union_models(*tables)))
     metrics = backtest_metrics(forecasts)
-    return Backtest(forecasts, metrics, best_model(metrics), best_forecast_tail(forecasts, params))
+    return Backtest(
+        forecasts, metrics, fold_metrics(forecasts, params), best_model(metrics), best_forecast_tail(forecasts, params)
+    )

@@ -7,19 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from slotwise.operators.kmeans import CLUSTER, Sweep, kmeans_sweep, to_points
 from slotwise.operators.periods import exclude_periods, labels_on_grid
 from slotwise.operators.rolling import feature_names, rolling_features
-from slotwise.operators.states import (
-    CLUSTER, FEATURES, Sweep, kmeans_sweep, principal_axes, standardize, state_names, state_summary, to_vectors,
-)
+from slotwise.operators.states import principal_axes, standardize, state_names, state_summary
 from slotwise.params import SERIES, TS, Params
-from slotwise.sources.staging import stage, stage_in_place
+from slotwise.sources.staging import stage
 
 
 @dataclass(frozen=True)
 class States:
     sweep: Sweep
-    vectors: DataFrame
+    points: DataFrame
     labels: DataFrame
     summary: DataFrame
     curve: DataFrame
@@ -32,13 +31,12 @@ def operating_states(
     running = stage(exclude_periods(grid, shutdowns, params)) if shutdowns is not None else grid
     features = rolling_features(running, sensors, params, compacted=shutdowns is not None)
     names = feature_names(sensors, params)
-    features = stage(features)
-    vectors = stage_in_place(to_vectors(standardize(features, names), names, features.count()))
-    sweep = kmeans_sweep(vectors, params)
-    labels = state_names(sweep.label(vectors).drop(FEATURES))
+    points = stage(to_points(standardize(stage(features), names), names, (SERIES, TS)))
+    sweep = kmeans_sweep(points, params)
+    labels = state_names(sweep.label(points))
     return States(
         sweep=sweep,
-        vectors=vectors,
+        points=points,
         labels=labels,
         summary=state_summary(running, labels, sensors),
         curve=sweep.table(grid),
@@ -52,4 +50,4 @@ def full_timeline(grid: DataFrame, states: States) -> DataFrame:
 
 def scatter(states: States, params: Params) -> DataFrame:
     """First two principal components of each labelled slot with its cluster."""
-    return principal_axes(states.vectors, params).join(states.labels.select(SERIES, TS, CLUSTER), [SERIES, TS])
+    return principal_axes(states.points, params).join(states.labels.select(SERIES, TS, CLUSTER), [SERIES, TS])

@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from series import START, collected, frame
-from slotwise.operators import fitted, forecasts, forest, states
+from slotwise.operators import fitted, forecasts, forest, kmeans, states
 from slotwise.params import Params
 from slotwise.plans import anomalies, backtest
 from slotwise.plans import states as state_plan
-from slotwise.sources.staging import stage_in_place
+from slotwise.sources.staging import stage
 
 P = Params(n_init=1, span=500)
 
@@ -41,7 +41,7 @@ def found(regimes):
 
 @pytest.fixture(scope="module")
 def placed(regimes):
-    return stage_in_place(states.to_vectors(states.standardize(regimes, ["a", "b"]), ["a", "b"], 40_000))
+    return stage(kmeans.to_points(states.standardize(regimes, ["a", "b"]), ["a", "b"], ["series_id", "ts"]))
 
 
 def test_standardized_columns(spark, regimes):
@@ -52,7 +52,7 @@ def test_standardized_columns(spark, regimes):
 
 
 def test_three_regimes_give_three_states(placed):
-    sweep = states.kmeans_sweep(placed, P.with_(n_init=2))
+    sweep = kmeans.kmeans_sweep(placed, P.with_(n_init=2))
     assert sweep.k == 3 and [row[0] for row in sweep.curve] == [2, 3, 4, 5]
     inertia = [row[1] for row in sweep.curve]
     assert inertia == sorted(inertia, reverse=True)
@@ -84,8 +84,8 @@ def test_scatter_axes(found):
 
 def test_sweep_does_not_depend_on_input_partitions(regimes, placed):
     other = states.standardize(regimes.repartition(7), ["a", "b"])
-    again = stage_in_place(states.to_vectors(other.coalesce(1), ["a", "b"], 40_000))
-    one, two = (states.kmeans_sweep(v, P.with_(kmin=3, kmax=3)) for v in (placed, again))
+    again = stage(kmeans.to_points(other.coalesce(1), ["a", "b"], ["series_id", "ts"]))
+    one, two = (kmeans.kmeans_sweep(v, P.with_(kmin=3, kmax=3)) for v in (placed, again))
     assert one.curve[0][1] == pytest.approx(two.curve[0][1], rel=1e-9)
     a, b = (collected(sweep.label(v), "ts")["cluster"] for sweep, v in ((one, placed), (two, again)))
     assert (a == b).all()
