@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from slotwise.functions.draws import uniform
 from slotwise.params import Params
 
 # The helpers below travel with the tasks, so that executors need no copy of this package.
@@ -39,7 +40,6 @@ FINALISTS = 3
 SAMPLE_ROUNDS, ROUNDS = 300, 20
 # Sum of squared moves of the centres, relative to the mean variance of a coordinate.
 TOLERANCE = 1e-4
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -84,18 +84,6 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(KEY)).to_numpy(zero_copy_only=False)
 
 
-def uniform(key: np.ndarray, *salt: int) -> np.ndarray:
-    """Numbers in (0, 1) that depend on a point's key and the salt only."""
-    x = key.astype(np.int64).view(np.uint64)
-    with np.errstate(over="ignore"):
-        for s in salt:
-            x = (x ^ np.uint64(s + 1)) * _MIX
-            x ^= x >> np.uint64(29)
-            x = x * np.uint64(0xBF58476D1CE4E5B9)
-            x ^= x >> np.uint64(32)
-    return ((x >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
-
-
 def gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of points to centres."""
     return np.maximum((x * x).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(axis=1), 0.0)

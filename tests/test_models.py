@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from series import START, collected, frame
+from slotwise.functions import draws
 from slotwise.operators import fitted, forecasts, forest, kmeans, states
 from slotwise.params import Params
 from slotwise.plans import anomalies, backtest
@@ -149,8 +150,25 @@ def test_forest_pieces():
     assert float(forest.mean_path(2)) == 1.0 and float(forest.mean_path(1)) == 0.0
     assert float(forest.mean_path(256)) == pytest.approx(10.2448, abs=1e-3)
     x = np.zeros((300, 2))  # nothing to split: every row ends in the root
-    trees = forest.grow_trees(x, 5, 256, 1)
-    np.testing.assert_allclose(forest.forest_scores(x, *trees, 256), 0.5)
+    trees = [forest.grow_tree(x[:256], 256, np.random.default_rng(t)) for t in range(5)]
+    np.testing.assert_allclose(forest.forest_scores(x, *(np.stack(c) for c in zip(*trees)), 256), 0.5)
+
+
+def test_every_tree_draws_from_all_rows(spark):
+    n = {1: 5000, 2: 30}
+    rows = spark.createDataFrame([(g, i, float(i), c) for g, c in n.items() for i in range(c)], "g int, id int, v double, _n long")
+    drawn = forest.draw_rows(rows.repartition(6), ["g"], "id", ["v"], 20, 64, 3).toPandas()
+    keys = rows.select("g", "id", F.xxhash64("g", "id").alias("h")).toPandas()
+    tops = {}
+    for g, own in keys.groupby("g"):
+        for t in range(20):
+            u = draws.uniform(own["h"].to_numpy(), 3, t)
+            want = set(own["id"].to_numpy()[np.argsort(u)[:64]])
+            got = drawn[(drawn["g"] == g) & (drawn["_tree"] == t)].sort_values("_u")["id"].head(64)
+            assert set(got) == want and len(want) == min(64, n[g])
+            tops[g, t] = want
+    # Trees share no pool: together they use about as many rows as independent draws would.
+    assert len(set().union(*(tops[1, t] for t in range(20)))) > 1000
 
 
 def test_contextual_periods(spark):
