@@ -71,16 +71,16 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = stage(duplicate_groups(docs, id_col, text_col).where("kept").select(
         F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_hash"), F.col("keep_rows").alias("_rows")
     ).distinct())
-    hashed = docs.withColumn("_hash", F.sha2(normalised(text_col), 256)).withColumn("_n", F.length(text_of(text_col)))
-    found = hashed.join(
-        kept, hashed[id_col].eqNullSafe(kept["_kept_id"]) & (hashed["_hash"] == kept["_kept_hash"])
-    ).drop("_kept_id", "_kept_hash")
+    # The caller's columns travel in one struct, so that none of their names can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    hashed = docs.select(
+        row, F.col(id_col).alias("id"), F.sha2(normalised(text_col), 256).alias("hash"), F.length(text_of(text_col)).alias("n")
+    )
+    found = hashed.join(kept, F.col("id").eqNullSafe(F.col("_kept_id")) & (F.col("hash") == F.col("_kept_hash")))
     once = found.where("_rows = 1")
-    again = found.where("_rows > 1")
     if not kept.where("_rows > 1").isEmpty():
         # A row repeated with its id: one of the copies, whichever other columns it has.
-        order = Window.partitionBy(id_col, "_hash").orderBy(F.desc("_n"), F.xxhash64(*docs.columns))
-        once = once.unionByName(
-            again.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
-        )
-    return once.select(*docs.columns)
+        order = Window.partitionBy("id", "hash").orderBy(F.desc("n"), F.xxhash64("row"))
+        again = found.where("_rows > 1").withColumn("k", F.row_number().over(order)).where("k = 1").drop("k")
+        once = once.unionByName(again)
+    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -7,13 +7,15 @@ again and give each run's marginal. Scores are fitted by the exact likelihood of
 gradients are expected less observed counts from the same messages.
 
 Labelled pages are the built-in layouts below, in which ``data-main`` marks content, and a bounded
-sample of the pages at hand whose own landmarks (article or main) say what is content.
-``SAMPLE_PAGES`` bounds that sample; the fit is a classifier's fit and needs no more. Every page is
-then read whole in the task that holds it; nothing is shuffled.
+sample of the pages at hand whose own landmarks (article or main) say what is content: of those with
+fewer than ``SAMPLE_CHARS`` characters the ``SAMPLE_PAGES`` with the smallest hashes, whatever the order
+of files and tasks. The fit is a classifier's fit and needs no more. Every page is then read whole in
+the task that holds it; nothing is shuffled.
 
 Defined results: null or empty html gives an empty text; so does a page without content. Broken
 markup is read as browsers do where it matters here: implied end tags, raw text of scripts and
-styles, a tag cut off by the end of the page is dropped. Other columns pass through.
+styles, end tags without an element in scope, a tag cut off by the end of the page is dropped. Very
+long pages and deep nesting take time in proportion to their length. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import types as T
 from slotwise.llm.common import text_of
 
 SAMPLE_PAGES = 32
+SAMPLE_CHARS = 1_000_000
 KEEP = 0.5
 
 # Element names of the HTML standard.
@@ -63,6 +66,11 @@ SIBLINGS = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
 }
 
+# What an end tag does not look beyond for its element ("has an element in scope").
+SCOPE = {"caption", "table", "td", "th", "object", "select", "marquee", "applet"}
+SCOPES = {name: {"table", "object", "select"} for name in ("table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th")}
+SCOPES |= {"li": SCOPE | {"ul", "ol"}, "p": SCOPE | {"button"}}
+
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -95,6 +103,7 @@ def parse(source: str) -> Page:
     page = Page()
     # Open elements: name, and the index of the block node that holds what is inside.
     stack: list[tuple[str, int]] = [("#root", 0)]
+    places: dict[str, list[int]] = {}  # of the open elements of a name, so that none is searched for
     skip = 0  # place in the stack of the outermost dropped element; nothing in it makes a node
     parts: list[str] = []
     linked = strong = 0
@@ -120,17 +129,22 @@ def parse(source: str) -> Page:
         if any(name not in INLINE for name, _ in seen):
             flush()
         links -= sum(name == "a" for name, _ in seen)
+        for name, _ in stack[to:]:
+            places[name].pop()
         del stack[to:]
         if to <= skip:
             skip = 0
 
+    def push(name: str, node: int) -> None:
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, node))
+
+    def last(names: set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def innermost(names: set[str], stop: set[str]) -> int | None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stop:
-                return None
-        return None
+        found = last(names)
+        return found if found and found >= last(stop) else None
 
     at, end = 0, len(source)
     while at < end:
@@ -156,7 +170,7 @@ def parse(source: str) -> Page:
                 if not skip:
                     parts.append(" ")
                 continue
-            found = innermost({name}, ({"table"} if name in INLINE or name == "p" else set()) | {"object", "select"})
+            found = innermost({name}, SCOPES.get(name, SCOPE))
             if found is not None:
                 close(found)
             continue
@@ -181,7 +195,7 @@ def parse(source: str) -> Page:
         if name in DROPPED or skip:
             if not m[0].endswith("/>") and name not in VOID:
                 skip = skip or len(stack)
-                stack.append((name, stack[-1][1]))
+                push(name, stack[-1][1])
             continue
         if name in MATH and m[0].endswith("/>"):
             continue
@@ -199,7 +213,7 @@ def parse(source: str) -> Page:
             close(outer)
         if name in INLINE:
             links += name == "a"
-            stack.append((name, stack[-1][1]))
+            push(name, stack[-1][1])
             continue
         flush()
         page.parent.append(stack[-1][1])
@@ -208,7 +222,7 @@ def parse(source: str) -> Page:
         page.text.append(None)
         page.linked.append(0)
         page.strong.append(0)
-        stack.append((name, len(page.tag) - 1))
+        push(name, len(page.tag) - 1)
     flush()
     return page
 
@@ -413,8 +427,9 @@ def train(pages: DataFrame | None, html_col: str = "html", sample_pages: int = S
 
     sources = labelled_layouts()
     if pages is not None:
-        marked = pages.where(F.lower(html_col).rlike("<(article|main)[ >]")).select(F.col(html_col).alias("h"))
-        sources += [r.h for r in marked.limit(sample_pages).toLocalIterator() if len(r.h) < 1_000_000]
+        short = pages.where(F.length(html_col) < SAMPLE_CHARS).select(F.col(html_col).alias("h"))
+        marked = short.where(F.lower("h").rlike("<(article|main)[ >]"))
+        sources += [r.h for r in marked.orderBy(F.xxhash64("h"), "h").limit(sample_pages).collect()]
     parsed = [parse(s) for s in sources]
     labelled = [(p, y) for p in parsed if (y := labels_of(p)) is not None]
     return fit([p for p, _ in labelled], [y for _, y in labelled])

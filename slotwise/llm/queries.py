@@ -45,7 +45,9 @@ def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     pieces = packing.pack(table(spark, folder, "documents"))
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost"
+    )
 
 
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -30,9 +30,11 @@ ACCEPT = 0.5
 BLANKED = "[SECRET]"
 NAMES = r"token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?|client[_-]?secret"
 # An equals sign only ends a key, as padding; before one stands a name.
-KEY = r"(?<![A-Za-z0-9+/_.\-])(?=[A-Za-z+/_.\-]{0,64}[0-9])(?=[0-9+/_.\-]{0,64}[A-Za-z])[A-Za-z0-9+/_.\-]{16,}={0,2}"
+KEY = r"(?<![A-Za-z0-9+/_.\-])(?=[A-Za-z+/_.\-]*+[0-9])(?=[0-9+/_.\-]*+[A-Za-z])[A-Za-z0-9+/_.\-]{16,}={0,2}"
 ASSIGNED = rf"((?<![A-Za-z0-9_.\-])[A-Za-z0-9_.\-]{{0,64}}(?i:{NAMES})[A-Za-z0-9_.\-]{{0,64}}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)([^\s\"',;]{{6,}})"
-PATTERN = f"{ASSIGNED}|({KEY})"
+# The password of a user in an address: scheme://user:password@host.
+LOGIN = r"((?<![A-Za-z0-9+.\-])[A-Za-z][A-Za-z0-9+.\-]{1,31}://[^\s/:@\"']{0,64}:)([^\s/@\"']{3,128})(?=@)"
+PATTERN = f"{ASSIGNED}|{LOGIN}|({KEY})"
 BEFORE, AFTER = 48, 24
 
 # Words whose letters count as dictionary coverage; parts of hosts, paths, names and placeholders.
@@ -78,6 +80,7 @@ def _features(df: DataFrame) -> DataFrame:
         "f_quoted": F.when(F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']"), 1.0).otherwise(0.0),
         "f_near": F.when(F.col("before").rlike(rf"(?i)({NAMES})"), 1.0).otherwise(0.0),
         "f_harmless": F.when(F.col("before").rlike(HARMLESS), 1.0).otherwise(0.0),
+        "f_login": F.when(F.col("before").rlike(r"://[^\s/:@]*:$") & F.col("after").startswith("@"), 1.0).otherwise(0.0),
         "f_address": F.when(F.col("before").rlike(r"(://\S*|@|www\.)$"), 1.0).otherwise(0.0),
     }
     return df.withColumns({k: v.cast("double") for k, v in made.items()})
@@ -85,7 +88,7 @@ def _features(df: DataFrame) -> DataFrame:
 
 FEATURES = (
     "length transitions digits upper symbols hex distinct vowels longest dictionary slashes dots dashes ending uuid known "
-    "call named assigned quoted near harmless address"
+    "call named assigned quoted near harmless login address"
 ).split()
 
 
@@ -100,6 +103,9 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     word = lambda s: pick(["mail", "report", "index", "section", "image", "volume", "chapter", "ontario", "thstere", "verunge", "layout", "module", "release", "cionado"], s)
     number = lambda m, s: F.pmod(F.xxhash64("id", F.lit(s)), F.lit(m)).cast("string")
     env = pick(["GITHUB_TOKEN=", "AWS_SECRET_ACCESS_KEY=", "DB_PASSWORD=", "S3_SECRET_KEY_2=", "app.auth-token.value=", "STRIPE_API_KEY="], 41)
+    login = F.concat(lead, pick(["postgres", "mysql", "amqp", "redis", "https", "ftp", "mongodb"], 46), F.lit("://"), word(47), F.lit(":"))
+    host = F.concat(F.lit("@"), word(48), F.lit(".net:5432/"), word(49))
+    short = F.concat(word(50), number(99, 51), pick(["!", "#", "$", "?", "&"], 52), F.substring(b62, 1, 1))
     named, plain, close = F.concat(lead, name, sign), F.concat(lead, word(4), F.lit(" ")), pick(['"', "'", " ", "\n", ""], 5)
     true = [
         (named, F.substring(h, 1, 40)), (named, F.substring(h, 1, 32)), (named, F.substring(h, 1, 64)),
@@ -109,6 +115,8 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (plain, F.concat(F.lit("ghp_"), F.substring(b62, 1, 36))), (plain, F.concat(F.lit("sk_live_"), F.substring(b62, 1, 24))),
         (F.concat(lead, F.lit("Authorization: Bearer ")), F.concat(F.lit("eyJ"), F.substring(b62, 1, 33), F.lit("."), F.substring(b62, 20, 30))),
         (F.concat(lead, F.lit("token ")), F.substring(h, 1, 40)),
+        (named, short), (F.concat(lead, env), short), (F.concat(lead, env), short),
+        (login, F.substring(b62, 1, 12), host), (login, short, host),
         (F.concat(lead, env), F.substring(b62, 1, 40)), (F.concat(lead, env), F.concat(F.substring(b62, 1, 8), F.lit("!"), number(90, 42))),
         (F.concat(lead, F.lit("GITHUB_TOKEN=")), F.concat(F.lit("ghp_"), F.substring(b62, 1, 36))),
         (F.concat(lead, pick(["AWS_ACCESS_KEY_ID=", "id=", "AWS_ID="], 43)), F.concat(F.lit("AKIA"), F.upper(F.substring(b62, 1, 16)))),
@@ -128,23 +136,25 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (plain, F.concat(F.lit("v"), number(9, 30), F.lit("."), number(99, 31), F.lit(".0-"), word(32), F.lit("-"), number(999, 33))),
         (plain, F.concat(word(34), F.lit("..."), word(35), F.lit("..."), number(99, 36))),
         (plain, F.substring(h, 1, 40)),
+        (login, pick(["password", "guest", "anonymous", "<password>", "${PASSWORD}", "changeme", "user"], 53), host),
         (F.concat(lead, env), pick(["changeme", "your_token_here", "${SECRET_TOKEN}", "example-token-1234", "placeholder"], 44)),
         (F.concat(lead, pick(["BUILD_COMMIT=", "GIT_SHA=", "version="], 45)), F.substring(h, 1, 40)),
     ]
     # Most of what a text's words before the sign say is left to chance by the lead.
     kinds = true + false
     at = F.pmod(F.xxhash64("id", F.lit(40)), F.lit(len(kinds)))
+    kinds = [(*k, close) if len(k) == 2 else k for k in kinds]
     choose = lambda i: F.element_at(F.array(*[k[i] for k in kinds]), (at + 1).cast("int"))
     return spark.range(rows).select(
-        F.col("id"), choose(0).alias("before"), choose(1).alias("candidate"), close.alias("after"),
+        F.col("id"), choose(0).alias("before"), choose(1).alias("candidate"), choose(2).alias("after"),
         F.when(at < len(true), 1.0).otherwise(0.0).alias("label"),
-    ).where(F.length("candidate") >= 6)
+    ).where(F.length("candidate") >= 3)
 
 
 def candidates(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per candidate: the kept columns, start (code points from 0), candidate, before, after."""
     text = F.translate(text_of(text_col), "\x01\x02", "��")
-    pieces = F.split(F.regexp_replace(text, PATTERN, "$1\x01$2$3\x02"), "\x01")
+    pieces = F.split(F.regexp_replace(text, PATTERN, "$1$3\x01$2$4$5\x02"), "\x01")
     ends = F.aggregate(
         F.col("_pieces"),
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("ends")),
@@ -195,16 +205,20 @@ def findings(docs: DataFrame) -> DataFrame:
 def blank_secrets(docs: DataFrame, text_col: str = "text", model: PipelineModel | None = None) -> DataFrame:
     """The documents with each accepted secret replaced by ``BLANKED``."""
     has = text_of(text_col).rlike(PATTERN)
-    touched = docs.where(has).withColumn("_hash", F.sha2(text_of(text_col), 256))
-    accepted = scan(touched, text_col, ("_hash",), model).where("is_secret").select(
-        "_hash", F.struct("start", F.length("candidate").alias("n")).alias("span")
-    ).distinct().groupBy("_hash").agg(F.sort_array(F.collect_list("span"), asc=False).alias("_spans"))
+    # The caller's columns travel in one struct, so that none of their names can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    touched = docs.where(has).select(row, text_of(text_col).alias("text"), F.sha2(text_of(text_col), 256).alias("hash"))
+    accepted = scan(touched, "text", ("hash",), model).where("is_secret").select(
+        "hash", F.struct("start", F.length("candidate").alias("n")).alias("span")
+    ).distinct().groupBy("hash").agg(F.sort_array(F.collect_list("span"), asc=False).alias("spans"))
     text = F.aggregate(
-        F.coalesce("_spans", F.array().cast("array<struct<start:bigint,n:int>>")), text_of(text_col),
+        F.coalesce("spans", F.array().cast("array<struct<start:bigint,n:int>>")), F.col("text"),
         lambda t, s: F.concat(
             F.substring(t, F.lit(1), s["start"].cast("int")), F.lit(BLANKED),
             F.substring(t, (s["start"] + s["n"] + 1).cast("int"), F.length(t)),
         ),
     )
-    blanked = touched.join(accepted, "_hash", "left").withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(text))
-    return docs.where(~has).unionByName(blanked.select(*docs.columns))
+    blanked = touched.join(accepted, "hash", "left")
+    old = lambda c: F.col("row").getField(c)
+    new = F.when(F.col("spans").isNull(), old(text_col)).otherwise(text)
+    return docs.where(~has).unionByName(blanked.select(*[(new if c == text_col else old(c)).alias(c) for c in docs.columns]))

@@ -42,3 +42,12 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert duplicate_groups(empty).count() == 0
     assert drop_duplicates(empty).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    names = ["_rows", "_hash", "_n", "_k", "row", "id", "hash", "n", "_kept_id"]
+    df = spark.createDataFrame([(1, "a a"), (2, "aa"), (1, "a a"), (3, "b")], "doc_id long, text string")
+    df = df.selectExpr("*", *[f"'{c}' as `{c}`" for c in names])
+    out = drop_duplicates(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "a a", *names), (3, "b", *names)]

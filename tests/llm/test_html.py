@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import numpy as np
 import pytest
@@ -95,3 +96,31 @@ def test_null_pages_and_clashing_columns(spark, model):
 ])
 def test_dropped_elements_end_where_browsers_end_them(source, want):
     assert [t for t in parse(source).text if t] == want
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<div><article><p>a</p><table><tr><td>cell</div> after</td></tr></table><p>b</p></article></div>", "article"),
+    ("<article><table><tr><th>x</article> y</th></tr></table><p>b</p></article>", "article"),
+    ("<article><ul><li>a</li><li>x</article></li></ul><p>b</p>", "#root"),
+])
+def test_end_tags_do_not_look_beyond_a_cell(source, want):
+    page = parse(source)
+    last = max(i for i, t in enumerate(page.text) if t == "b")
+    assert page.tag[page.parent[page.parent[last]]] == want
+
+
+def test_deep_nesting_takes_linear_time():
+    def seconds(n):
+        source = "<p><table><tr><td>" + "<b>x" * n + "</p></i></div>" * n
+        begin = time.perf_counter()
+        parse(source)
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 25 * max(seconds(4_000), 0.02)
+
+
+def test_the_sample_does_not_depend_on_the_order_of_rows(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    one, two = train(pages), train(pages.repartition(7).sortWithinPartitions("url"))
+    assert np.allclose(one.unary, two.unary) and np.allclose(one.edge, two.edge)

@@ -64,3 +64,13 @@ def test_the_fast_ids_are_those_of_the_library(spark):
     exact, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), byte_bpe("byte_bpe_50k")
     for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
         assert fast(r.text).tolist() == exact.encode(r.text, add_special_tokens=False).ids
+
+
+def test_columns_and_odd_rows(spark):
+    from slotwise.llm import queries
+
+    got = queries.op7_packing(spark, "/root/testdata/sf0.001")
+    assert got.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    df = spark.createDataFrame([(None, "a b", 1, 2), (4, "c", 3, 4), (4, "c", 3, 4)], "doc_id long, text string, ids int, offset int")
+    rows = pack(df).collect()
+    assert sum(r.length for r in rows) == 7 and {(r.doc_id, r.doc_tokens) for r in rows} == {(None, 3), (4, 2)}

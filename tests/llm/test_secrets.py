@@ -65,5 +65,24 @@ def test_names_with_a_prefix_or_suffix_are_no_part_of_the_candidate(spark):
     df = documents(spark, [f"set {before}{secret} and go" for before, secret in ENV])
     got = sorted((r.doc_id, r.start, r.candidate) for r in candidates(df).collect())
     assert got == [(i, 4 + len(before), secret) for i, (before, secret) in enumerate(ENV)]
-    # The forest still takes the short password made of a word, the last one, for harmless.
-    assert [r.text for r in blank_secrets(df).sort("doc_id").collect()][:5] == [f"set {before}[SECRET] and go" for before, _ in ENV[:5]]
+    assert [r.text for r in blank_secrets(df).sort("doc_id").collect()] == [f"set {before}[SECRET] and go" for before, _ in ENV]
+
+
+def test_long_runs_and_passwords_in_addresses(spark, model):
+    run = "abcdefgh" * 9 + hexa(3, 30)
+    texts = [f"key {run} end", "db postgres://admin:S3cr3tPa55@host.net/x", "see https://www.example.org:8080/a and http://host/p@th", "mysql://root:changeme@db.net"]
+    got = [(r.doc_id, r.candidate, r.is_secret) for r in scan(documents(spark, texts), model=model).collect()]
+    assert {g[:2] for g in got} >= {(0, run), (1, "S3cr3tPa55"), (3, "changeme")}
+    assert {g[0] for g in got if g[2]} >= {1} and 3 not in {g[0] for g in got if g[2]}
+    assert not any(g[1].startswith("8080") for g in got)
+
+
+def test_columns_of_any_name(spark, model):
+    df = documents(spark, [f'token = "{hexa(1)}"', "plain"])
+    for c in ("_hash", "hash", "_spans", "spans", "row", "_pieces", "candidate"):
+        df = df.selectExpr("*", f"'{c}' as `{c}`")
+    out = blank_secrets(df, model=model)
+    assert out.columns == df.columns
+    rows = out.sort("doc_id").collect()
+    assert rows[0].text == 'token = "[SECRET]"' and rows[1].text == "plain"
+    assert all(r[c] == c for r in rows for c in ("_hash", "hash", "_spans", "spans", "row", "_pieces", "candidate"))
