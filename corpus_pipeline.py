@@ -1,4 +1,5 @@
-"""The corpus pipeline: each stage works on what its predecessor kept."""
+"""The corpus pipeline: each stage works on what its predecessor kept. All but the last return the
+columns of ``documents``; further columns of a table given to a stage are not carried on."""
 
 from __future__ import annotations
 
