@@ -9,7 +9,8 @@ are never made. Equal strings become one with a count before they are shuffled.
 ``HOT_STRINGS`` different strings is dealt anew, window by window.
 
 In a task the strings are built column-wise: each round inserts one symbol per string, from the last
-to the first. The position of a symbol's suffix is its place in a stable sort of the transform so
+to the first. A symbol is eight bytes where they divide the width, and a string has eight sequences
+of them, so that every byte starts one. The position of a symbol's suffix is its place in a stable sort of the transform so
 far; the transform and the array of common prefixes (ended at ``width``) are read from one pair of
 sequential files and written with the insertions to another. A common prefix is one more than the
 least one between the two occurrences of the symbol. At the end a backward walk gives each suffix's
@@ -96,6 +97,8 @@ class Columns:
     """The transform and common prefixes of a collection, in two pairs of sequential files: each round
     reads one pair from start to end and writes the other."""
 
+    KINDS = (np.int32, np.uint8)
+
     def __init__(self, folder: str):
         self.pairs = [[open(os.path.join(folder, f"{kind}{side}"), "w+b", buffering=0) for kind in "tp"] for side in "ab"]
         self.now = self.size = 0
@@ -104,13 +107,13 @@ class Columns:
         self.now, self.size = 1 - self.now, len(arrays[0])
         for file, array in zip(self.pairs[self.now], arrays):
             file.seek(0)
-            file.write(memoryview(array))
+            file.write(memoryview(array).cast("B"))
 
     def read(self) -> list[np.ndarray]:
-        arrays = [np.empty(self.size, np.uint8) for _ in range(2)]
+        arrays = [np.empty(self.size, kind) for kind in self.KINDS]
         for file, array in zip(self.pairs[self.now], arrays):
             file.seek(0)
-            file.readinto(memoryview(array))
+            file.readinto(memoryview(array).cast("B"))
         return arrays
 
     def close(self) -> None:
@@ -119,29 +122,48 @@ class Columns:
                 file.close()
 
 
+def symbol_columns(strings: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every string as ``step`` sequences of symbols of ``step`` bytes, one for each place to start. Column
+    j holds the jth symbol from the end of each sequence, 0 after its first; and the symbols of each.
+    What is left of a string behind its last whole symbol belongs to no whole window of the sequence."""
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    lengths = np.array([len(s) for s in strings])
+    counts = np.maximum(lengths[:, None] - np.arange(step), 0) // step
+    begins = (np.cumsum(lengths) - lengths)[:, None] + np.arange(step)
+    counts, begins = counts.ravel(), begins.ravel()
+    at = np.repeat(begins, counts) + step * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+    values = np.zeros(len(at), np.uint64)
+    for i in range(step):
+        values = values << np.uint64(8) | data[at + i]
+    codes = np.zeros(len(data) + 1, np.int32)
+    codes[at] = np.unique(values, return_inverse=True)[1] + 1
+    columns = np.zeros((int(counts.max()) + 1, len(counts)), np.int32)
+    for j in range(1, len(columns)):
+        long = np.flatnonzero(counts >= j)
+        columns[j - 1, long] = codes[begins[long] + step * (counts[long] - j)]
+    return columns, counts
+
+
 def repeated_starts(strings: list[bytes], width: int) -> list[np.ndarray]:
     """For each string the starts of its windows of ``width`` bytes that start elsewhere in the
-    collection too."""
-    if width > 254:
+    collection too.
+
+    Symbols are as many bytes as divide the width, at most eight, and a string takes part once for
+    each place where its symbols can start: each byte still is the start of one suffix, and there are
+    as many fewer rounds as a symbol has bytes."""
+    step = next(s for s in (8, 4, 2, 1) if width % s == 0)
+    least = width // step
+    if least > 254:
         raise ValueError("common prefixes are kept in bytes")
-    m = len(strings)
-    lengths = np.array([len(s) for s in strings])
-    longest = int(lengths.max())
-    # Symbols 1 and up in the order of bytes; 0 ends a string. Column j holds the jth symbol from the end.
-    used = np.unique(np.frombuffer(b"".join(strings), np.uint8))
-    if len(used) > 255:
-        raise ValueError("at most 255 different bytes; UTF-8 has fewer")
-    code = np.zeros(256, np.uint8)
-    code[used] = np.arange(1, len(used) + 1)
-    columns = np.zeros((longest + 1, m), np.uint8)
-    for i, s in enumerate(strings):
-        columns[: len(s), i] = code[np.frombuffer(s, np.uint8)[::-1]]
+    columns, counts = symbol_columns(strings, step)
+    longest, m = len(columns) - 1, len(counts)
+    kinds = int(columns.max()) + 1
     with tempfile.TemporaryDirectory() as folder:
         files = Columns(folder)
         files.write(columns[0], np.zeros(m, np.uint8))
         # Rows of the transform in stable order of their symbols, and how many each symbol has.
         order = np.argsort(columns[0], kind="stable").astype(np.int32)
-        totals = np.bincount(columns[0], minlength=257)
+        totals = np.bincount(columns[0], minlength=kinds)
         # The last inserted suffixes in that order: whose they are, their places in it, their symbols.
         owner, at, symbol = order.astype(np.int64), np.arange(m), columns[0][order]
         for j in range(1, longest + 1):
@@ -149,67 +171,101 @@ def repeated_starts(strings: list[bytes], width: int) -> list[np.ndarray]:
             owner, at, symbol = owner[going], at[going], symbol[going]
             transform, prefixes = files.read()
             n, ended = len(transform), int(totals[0])
-            rows = order[at]
+            rows = order[at].astype(np.int64)
             # Occurrences of the same symbol before and after.
             ends = np.cumsum(totals)
-            before, after = order[at - 1], order[np.minimum(at + 1, n - 1)]
+            before, after = order[at - 1].astype(np.int64), order[np.minimum(at + 1, n - 1)].astype(np.int64)
             has_before, has_after = at > ends[symbol - 1], at + 1 < ends[symbol]
+            shared = 1 + least_between(
+                prefixes, np.concatenate([before[has_before], rows[has_after]]), np.concatenate([rows[has_before], after[has_after]])
+            )
             own = np.zeros(len(rows), np.int64)
-            own[has_before] = 1 + _least_between(prefixes, before[has_before], rows[has_before])
-            following = 1 + _least_between(prefixes, rows[has_after], after[has_after])
+            own[has_before] = shared[: has_before.sum()]
             spots = m + at - ended
             old = np.ones(n + len(rows), bool)
             old[spots] = False
-            grown, common = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
+            grown, common = np.empty(len(old), np.int32), np.empty(len(old), np.uint8)
             grown[old], common[old] = transform, prefixes
             symbol = columns[j, owner]
             grown[spots] = symbol
-            common[spots[has_after] + 1] = np.minimum(following, width)
-            common[spots] = np.minimum(own, width)
+            common[spots[has_after] + 1] = np.minimum(shared[has_before.sum() :], least)
+            common[spots] = np.minimum(own, least)
             files.write(grown, common)
             # The same order with the insertions.
             order = np.flatnonzero(old).astype(np.int32)[order]
-            by_symbol = np.argsort(symbol, kind="stable")
+            by_symbol = np.argsort(symbol * np.int64(len(old)) + spots)
             owner, spots, symbol = owner[by_symbol], spots[by_symbol], symbol[by_symbol]
-            fresh = np.bincount(symbol, minlength=257)
-            at = np.empty(len(spots), np.int64)
-            done = 0
-            for s in np.flatnonzero(fresh).tolist():
-                part = slice(done, done + int(fresh[s]))
-                at[part] = ends[s] - totals[s] + np.searchsorted(order[ends[s] - totals[s] : ends[s]], spots[part])
-                done += int(fresh[s])
-            at += np.arange(len(at))
+            at = places_of(order, spots, ends[symbol] - totals[symbol], ends[symbol]) + np.arange(len(spots))
+            totals = totals + np.bincount(symbol, minlength=kinds)
             old = np.ones(len(old), bool)
             old[at] = False
             merged = np.empty(len(old), np.int32)
             merged[old], merged[at] = order, spots
             order = merged
-            totals = totals + fresh
         transform, prefixes = files.read()
         files.close()
     back = np.empty(len(transform), np.int64)
     back[order] = np.arange(len(transform)) - int(totals[0]) + m
-    repeats = prefixes >= width
-    repeats[:-1] |= prefixes[1:] >= width
-    found: list[list[int]] = [[] for _ in strings]
+    repeats = prefixes >= least
+    repeats[:-1] |= prefixes[1:] >= least
+    whose, starts = [], []
     rows, owner = np.arange(m), np.arange(m)
     for j in range(1, longest + 1):
         going = transform[rows] > 0
         rows, owner = back[rows[going]], owner[going]
-        if j >= width:
-            for i in owner[repeats[rows]].tolist():
-                found[i].append(len(strings[i]) - j)
-    return [np.array(f[::-1], np.int64) for f in found]
-
-
-def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """min(values[low + 1 .. high]) for each pair."""
+        if j >= least:
+            hit = owner[repeats[rows]]
+            whose.append(hit // step)
+            starts.append(hit % step + step * (counts[hit] - j))
+    if not whose:
+        return [np.empty(0, np.int64) for _ in strings]
+    whose, starts = np.concatenate(whose), np.concatenate(starts)
+    by_string = np.lexsort((starts, whose))
+    return np.split(starts[by_string], np.searchsorted(whose[by_string], np.arange(1, len(strings))))
+
+
+def places_of(order: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Where each row belongs in its part low .. high of ``order``, whose parts ascend: binary searches side
+    by side."""
+    low, high = low.copy(), high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) // 2
+        less = order[middle] < rows[open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+        open_ = open_[low[open_] < high[open_]]
+    return low
+
+
+def least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray, block: int = 16) -> np.ndarray:
+    """min(values[low + 1 .. high]) for each pair, from the least values up to and from each place of a
+    block, and those of 1, 2, 4, .. blocks."""
     if not len(low):
         return np.empty(0, np.int64)
-    bounds = np.empty(2 * len(low), np.int64)
-    bounds[0::2], bounds[1::2] = low + 1, high + 1
-    # One more value, so that a pair may end with the last.
-    return np.minimum.reduceat(np.append(values, np.uint8(255)), bounds)[0::2].astype(np.int64)
+    blocks = np.full((len(values) // block + 1, block), 255, np.uint8)
+    blocks.ravel()[: len(values)] = values
+    up_to = np.minimum.accumulate(blocks, axis=1)
+    from_ = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1]
+    levels = [np.ascontiguousarray(up_to[:, -1])]
+    while 2 ** len(levels) <= len(blocks):
+        half = 2 ** (len(levels) - 1)
+        levels.append(np.minimum(levels[-1][:-half], levels[-1][half:]))
+    first, last = (low + 1) // block, high // block
+    a, b = (low + 1) % block, high % block
+    out = np.minimum(from_[first, a], up_to[last, b])
+    within = np.flatnonzero(first == last)
+    place = np.arange(block)
+    own = blocks[first[within]]
+    own[(place < a[within, None]) | (place > b[within, None])] = 255
+    out[within] = own.min(axis=1)
+    far = np.flatnonzero(last - first > 1)
+    size = last[far] - first[far] - 1
+    depth = np.frexp(size)[1] - 1
+    for d in np.unique(depth):
+        part = far[depth == d]
+        out[part] = np.minimum(out[part], np.minimum(levels[d][first[part] + 1], levels[d][last[part] - 2**d]))
+    return out.astype(np.int64)
 
 
 def ranges(starts: np.ndarray) -> list[tuple[int, int]]:
