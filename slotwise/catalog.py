@@ -159,7 +159,7 @@ def mad_clip(spark, folder):
 
 
 def describe_sensors(spark, folder):
-    return round_doubles(profile.describe(clipped(spark, folder), SENSORS))
+    return round_doubles(profile.describe_clipped(base(spark, folder), SENSORS, P))
 
 
 def describe_orders(spark, folder):
@@ -463,8 +463,7 @@ def long_series_shutdowns(spark, folder):
 
 def long_series_profile(spark, folder):
     rows = stage(long_grid(spark, folder))
-    clipped_rows = profile.mad_clip(rows, tables.LONG_SENSORS, P)
-    return round_doubles(profile.describe(clipped_rows, tables.LONG_SENSORS), 4)
+    return round_doubles(profile.describe_clipped(rows, tables.LONG_SENSORS, P), 4)
 
 
 def long_series_outliers(spark, folder):

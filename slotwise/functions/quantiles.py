@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions.chunks import attach
+from slotwise.sources.staging import stage
 
 # Sketch error is n / ACCURACY ranks; brackets reach five times as far on either side.
 ACCURACY = 10_000
@@ -31,9 +32,11 @@ def group_quantiles(
     extra: Sequence[Column] = (),
     accuracy: int = ACCURACY,
     keep_all: int = KEEP_ALL,
+    ends: bool = False,
 ) -> DataFrame:
     """One row per group: ``keys``, ``n`` (non-null values) and ``q`` (array in the order of the
-    ascending ``probs``). Given ``extra`` aggregates these come along, and so do groups without
+    ascending ``probs``), with ``ends`` the structs ``lo, hi, w`` of the two neighbouring values and the
+    second one's share. Given ``extra`` aggregates these come along, and so do groups without
     any value. ``spread`` names columns that tell the rows of a group apart, for salting; by
     default the value itself. Groups of up to ``keep_all`` values are kept as they are."""
     keys, probs = list(keys), list(probs)
@@ -43,9 +46,10 @@ def group_quantiles(
     if probs != sorted(probs):
         raise ValueError("probs must ascend")
     cuts = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
-    figures = df.groupBy(*keys).agg(
+    # Staged: one row per group, whose measured size lets Spark join it without moving the rows.
+    figures = stage(df.groupBy(*keys).agg(
         F.count(value).alias("n"), F.percentile_approx(value, cuts, accuracy).alias("_cuts"), *extra
-    )
+    ))
     brackets = figures.selectExpr(*keys, "n", f"case when n > {keep_all} then _cuts end as _cuts")
     spread = list(spread or [value])
     narrow = df.filter(F.col(value).isNotNull()).select(*dict.fromkeys([*keys, value, *spread]))
@@ -83,7 +87,8 @@ def group_quantiles(
     for i, p in enumerate(probs):
         lo, hi = f"coalesce(_lo{i}, {missed})", f"coalesce(_hi{i}, {missed})"
         h = f"{float(p)}D * (n - 1)"
-        quantiles.append(f"{lo} + ({hi} - {lo}) * ({h} - floor({h}))")
+        share = f"({h} - floor({h}))"
+        quantiles.append(f"named_struct('lo', {lo}, 'hi', {hi}, 'w', {share})" if ends else f"{lo} + ({hi} - {lo}) * {share}")
     found = chosen.selectExpr(*keys, "n", f"array({', '.join(quantiles)}) as q")
     if not extra:
         return found

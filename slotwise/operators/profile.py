@@ -40,7 +40,10 @@ def clip_bounds(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFr
     medians = group_quantiles(cells, [SERIES, "sensor"], "value", [0.5], spread=[TS]).select(
         SERIES, "sensor", F.col("q")[0].alias("med")
     )
-    medians = stage(medians)
+    return _bounds_around(stage(medians), cells, params)
+
+
+def _bounds_around(medians: DataFrame, cells: DataFrame, params: Params) -> DataFrame:
     deviations = attach(cells.filter(F.col("value").isNotNull()), medians, [SERIES, "sensor"], [TS]).select(
         SERIES, TS, "sensor", F.abs(F.col("value") - F.col("med")).alias("dev")
     )
@@ -57,7 +60,11 @@ def clip_bounds(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFr
 
 def mad_clip(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFrame:
     """Clip each sensor of each series to its bounds; nulls stay null."""
-    wide = clip_bounds(df, sensors, params).groupBy(SERIES).agg(
+    return _clipped(df, sensors, clip_bounds(df, sensors, params))
+
+
+def _clipped(df: DataFrame, sensors: Sequence[str], bounds: DataFrame) -> DataFrame:
+    wide = bounds.groupBy(SERIES).agg(
         *[
             F.max(F.when(F.col("sensor") == c, F.col(b))).alias(f"_{b}_{c}")
             for c in sensors
@@ -97,6 +104,42 @@ def describe(
     )
 
 
+def describe_clipped(
+    df: DataFrame, sensors: Sequence[str], params: Params, *, probs: Sequence[float] = SUMMARY_PROBS
+) -> DataFrame:
+    """``describe(mad_clip(df))`` per series and sensor with one quantile pass less.
+
+    Clipping keeps the order of the values, so the values around a rank of the clipped column are
+    those around it in the raw one, clipped. One pass gives these for all percentiles, of which the
+    median bounds the deviations; only mean and deviation need the clipped rows, in one aggregate.
+    """
+    if 0.5 not in probs:
+        raise ValueError("the bounds need the median")
+    cells, groups, v = long_form(df, sensors), [SERIES, "sensor"], F.col("value")
+    raw = stage(group_quantiles(
+        cells, groups, "value", probs, spread=[TS], extra=[F.min(v).alias("min"), F.max(v).alias("max")], ends=True
+    ))
+    middle = f"q[{list(probs).index(0.5)}]"
+    medians = raw.filter("n > 0").selectExpr(*groups, f"{middle}.lo + ({middle}.hi - {middle}.lo) * {middle}.w as med")
+    bounds = _bounds_around(medians, cells, params)
+    moments = _clipped(df, sensors, bounds).groupBy(SERIES).agg(
+        *[f(F.col(c).cast("double")).alias(f"_{n}_{c}") for c in sensors for n, f in (("mean", F.avg), ("std", F.stddev_samp))]
+    )
+    each = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("sensor"), F.col(f"_mean_{c}").alias("mean"), F.col(f"_std_{c}").alias("std")) for c in sensors
+    ])).alias("_m")
+    found = raw.join(bounds, groups, "left").join(moments.select(SERIES, each).select(SERIES, "_m.*"), groups, "left")
+
+    def clip(x: str) -> str:
+        return f"(case when {x} is not null then least(greatest({x}, low), high) end)"
+
+    return found.selectExpr(
+        *groups, "n as count", "mean", "std", f"{clip('min')} as min",
+        *[f"{clip(f'q[{i}].lo')} + ({clip(f'q[{i}].hi')} - {clip(f'q[{i}].lo')}) * q[{i}].w as p{round(p * 100):02d}" for i, p in enumerate(probs)],
+        f"{clip('max')} as max",
+    )
+
+
 def correlations(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every pair of sensors, in long form; null where a
     sensor does not vary over the common slots."""

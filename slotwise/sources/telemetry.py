@@ -93,6 +93,32 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by:
         writer.format(fmt).save(path)
 
 
+def write_days(
+    df: DataFrame, path: str, *, by: Sequence[str] = (SERIES, TS), day: str = "day", rows_per_file: int = 4_000_000
+) -> None:
+    """Write a slot table as one Parquet folder per day of ``ts``, and on a rerun replace only the days
+    that ``df`` holds; other days stay as they are.
+
+    Rows are dealt by ranges of day and ``by`` and ordered by them, so that a day of many rows is written by
+    several tasks, each file covers a narrow range of series, and a day of few rows has one file or two.
+    ``df`` is read twice, once for the ranges; pass it staged where it is costly.
+    """
+    rows = df.withColumn(day, F.to_date(F.col(TS)))
+    dealt = rows.repartitionByRange(day, *by).sortWithinPartitions(day, *by)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+    writer.partitionBy(day).parquet(path)
+
+
+def read_days(spark: SparkSession, path: str, first: str | None = None, last: str | None = None, *, day: str = "day") -> DataFrame:
+    """Rows of ``write_days``, of the days ``first`` to ``last`` (ISO dates); no other folder is read."""
+    rows = spark.read.parquet(path)
+    if first is not None:
+        rows = rows.filter(F.col(day) >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.filter(F.col(day) <= F.lit(last).cast("date"))
+    return rows.drop(day)
+
+
 def read_periods(spark: SparkSession, path: str, *, fmt: str = "parquet", schema: str = PERIOD_SCHEMA) -> DataFrame:
     return _read(spark, path, fmt, schema)
 

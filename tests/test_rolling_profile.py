@@ -138,3 +138,15 @@ def test_correlations_are_pairwise(spark, data):
 def test_lowest_decile(spark, data):
     got = collected(profile.lowest_decile(frame(spark, data), "v"), "series_id", "ts")["off"]
     assert (got.to_numpy() == by_series(data, lambda s: s <= s.quantile(0.1))).all()
+
+
+def test_clipped_summary_equals_the_summary_of_clipped_rows(spark, data):
+    pdf = data.assign(w=np.random.default_rng(3).standard_cauchy(len(data)), flat=4.0, none=np.nan)
+    pdf.loc[5, "flat"] = 100.0
+    rows, sensors = frame(spark, pdf), ["v", "w", "flat", "none"]
+    want = collected(profile.describe(profile.mad_clip(rows, sensors, P), sensors), "series_id", "sensor")
+    got = collected(profile.describe_clipped(rows, sensors, P), "series_id", "sensor")
+    pd.testing.assert_frame_equal(got, want)
+    assert (got["max"] < pdf["w"].max()).any()
+    with pytest.raises(ValueError):
+        profile.describe_clipped(rows, sensors, P, probs=[0.25])

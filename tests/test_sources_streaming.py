@@ -55,6 +55,33 @@ def test_partitioned_write(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t").glob("series_id=*")} == {"series_id=1", "series_id=2"}
 
 
+def test_a_rerun_replaces_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "days")
+
+    def table(days, value):
+        pdf = pd.DataFrame([
+            (s, START + pd.Timedelta(days=d, minutes=5 * i), value + i) for d in days for s in range(3) for i in range(200)
+        ], columns=["series_id", "ts", "v"])
+        return frame(spark, pdf).repartition(7)
+
+    telemetry.write_days(table([0, 1, 2], 1.0), path, rows_per_file=100)
+    kept = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "days" / f"day={START.date()}").glob("*.parquet")}
+    telemetry.write_days(table([1], 100.0), path, rows_per_file=100)
+    telemetry.write_days(table([1], 100.0), path, rows_per_file=100)
+    got = telemetry.read_days(spark, path)
+    assert got.columns == ["series_id", "ts", "v"]
+    want = table([0, 2], 1.0).unionByName(table([1], 100.0))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert kept == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "days" / f"day={START.date()}").glob("*.parquet")}
+    one = telemetry.read_days(spark, path, str(START.date() + pd.Timedelta(days=1)), str(START.date() + pd.Timedelta(days=1)))
+    assert one.count() == 600 and one.agg({"v": "min"}).first()[0] == 100.0
+    assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+    # Files are clustered: of a day's series, each file holds a run.
+    for f in (tmp_path / "days").glob("day=*/*.parquet"):
+        rows = [tuple(r) for r in spark.read.parquet(str(f)).select("series_id", "ts").collect()]
+        assert rows == sorted(rows) and len(rows) <= 100
+
+
 def test_parquet_source_and_labels_join(spark, tmp_path):
     raw = frame(spark, pd.DataFrame({"machine": ["x", "y", None], "time": [START] * 3, "v": ["1", "?", "3"]}))
     raw.write.parquet(str(tmp_path / "raw.parquet"))
