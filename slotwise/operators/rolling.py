@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from slotwise.functions.chunks import CHUNK, over_chunks, positions
 from slotwise.functions.timeslots import slot_of
 from slotwise.operators.grid import SLOT
 from slotwise.params import SERIES, TS, Params
 
-# Up to this many rows a median is an array expression over lags; beyond, a frame aggregate.
+# The helpers below travel with the tasks, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Up to this many rows a median is an array expression over lags; beyond, a sliding order statistic.
 _ARRAY_MEDIAN = 16
 
 
@@ -25,11 +33,33 @@ def median_reach(win: int, *, center: bool) -> tuple[int, int]:
     return win - 1 - ahead, ahead
 
 
-def rolling_median(value: str, w: WindowSpec, before: int, after: int, min_count: int) -> Column:
-    """Median of the non-null values in the row frame, null below ``min_count`` of them."""
-    if before + after + 1 > _ARRAY_MEDIAN:
-        frame = w.rowsBetween(-before, after)
-        return F.when(F.count(value).over(frame) >= min_count, F.percentile(value, F.lit(0.5)).over(frame))
+def rolling_medians(
+    rows: DataFrame, w: WindowSpec, keys: Sequence[str], order: str, columns: Mapping[str, str], before: int, after: int, min_count: int
+) -> DataFrame:
+    """Adds, by new name, the median of the non-null values of a column in the row frame, null below
+    ``min_count`` of them. ``rows`` are cut into chunks with the rows that the frames reach.
+
+    Short frames are expressions. Long ones slide through a chunk in one task, which keeps a frame's
+    values ordered, so that a row costs the logarithm of the frame and not a sort of it."""
+    least = max(1, min_count)
+    if before + after + 1 <= _ARRAY_MEDIAN:
+        return rows.withColumns({name: _array_median(c, w, before, after, least) for name, c in columns.items()})
+    kept = [f for f in rows.schema if f.name not in columns]
+    schema = StructType([*kept, *[StructField(name, DoubleType()) for name in columns]])
+
+    def slide(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        made = {}
+        for name, c in columns.items():
+            # Frames at the end are as short as those at the start: no values lie beyond either.
+            values = pd.Series(np.concatenate([pdf[c].to_numpy(float), np.full(after, np.nan)]))
+            made[name] = values.rolling(before + after + 1, min_periods=least).median().to_numpy()[after:]
+        return pdf.assign(**made)[schema.names]
+
+    return rows.groupBy(*keys, CHUNK).applyInPandas(slide, schema).select(*dict.fromkeys([*rows.columns, *columns]))
+
+
+def _array_median(value: str, w: WindowSpec, before: int, after: int, least: int) -> Column:
     cells = [F.lag(value, i).over(w) for i in range(before, 0, -1)]
     cells.append(F.col(value))
     cells += [F.lead(value, i).over(w) for i in range(1, after + 1)]
@@ -39,7 +69,7 @@ def rolling_median(value: str, w: WindowSpec, before: int, after: int, min_count
     skipped = F.lit(len(cells)) - n
     low = F.get(ordered, skipped + F.floor((n - 1) / 2).cast("int"))
     high = F.get(ordered, skipped + F.floor(n / 2).cast("int"))
-    return F.when(n >= max(1, min_count), low + (high - low) * 0.5)
+    return F.when(n >= least, low + (high - low) * 0.5)
 
 
 def smooth_centered(df: DataFrame, sensors: Sequence[str], params: Params) -> DataFrame:
@@ -51,7 +81,7 @@ def smooth_centered(df: DataFrame, sensors: Sequence[str], params: Params) -> Da
     before, after = median_reach(win, center=True)
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        return rows.withColumns({c: rolling_median(c, w, before, after, max(1, win // 2)) for c in sensors})
+        return rolling_medians(rows, w, [SERIES], SLOT, {c: c for c in sensors}, before, after, win // 2)
 
     rows = df.withColumn(SLOT, slot_of(TS, params.step))
     return over_chunks(rows, [SERIES], SLOT, params.span, build, before, after)
@@ -121,13 +151,13 @@ def rolling_features(
 def rolling_mad_z(df: DataFrame, target: str, params: Params) -> DataFrame:
     """Adds ``med``, ``mad`` (0 becomes null) and ``z`` = |value - med| / mad of the target."""
     win = max(3, params.slots(params.feature_windows_min[0]))
-    reach, least = win - 1, max(1, win // 2)
+    reach, least = win - 1, win // 2
 
     def build(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        rows = rows.withColumn("med", rolling_median(target, w, reach, 0, least))
+        rows = rolling_medians(rows, w, [SERIES], SLOT, {"med": target}, reach, 0, least)
         rows = rows.withColumn("_dev", F.abs(F.col(target) - F.col("med")))
-        mad = rolling_median("_dev", w, reach, 0, least)
-        return rows.withColumn("mad", F.nullif(mad, F.lit(0.0))).drop("_dev")
+        rows = rolling_medians(rows, w, [SERIES], SLOT, {"mad": "_dev"}, reach, 0, least)
+        return rows.withColumn("mad", F.nullif("mad", F.lit(0.0))).drop("_dev")
 
     rows = df.withColumn(SLOT, slot_of(TS, params.step))
     rows = over_chunks(rows, [SERIES], SLOT, params.span, build, 2 * reach).drop(SLOT)

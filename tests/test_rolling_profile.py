@@ -150,3 +150,27 @@ def test_clipped_summary_equals_the_summary_of_clipped_rows(spark, data):
     assert (got["max"] < pdf["w"].max()).any()
     with pytest.raises(ValueError):
         profile.describe_clipped(rows, sensors, P, probs=[0.25])
+
+
+@pytest.mark.parametrize("minutes", [15, 120])
+def test_mad_of_short_and_long_frames(spark, data, minutes):
+    params = P.with_(feature_windows_min=(minutes,), span=80)
+    n = minutes // 5
+    got = collected(rolling.rolling_mad_z(frame(spark, data), "v", params), "series_id", "ts")
+
+    def mad(s):
+        med = s.rolling(n, min_periods=max(1, n // 2)).median()
+        return (s - med).abs().rolling(n, min_periods=max(1, n // 2)).median().replace(0.0, np.nan)
+
+    np.testing.assert_allclose(got["med"], by_series(data, lambda s: s.rolling(n, min_periods=max(1, n // 2)).median()))
+    np.testing.assert_allclose(got["mad"], by_series(data, mad))
+    assert list(got.columns[:3]) == ["series_id", "ts", "v"]
+
+
+def test_a_day_long_median_does_not_sort_every_frame(spark):
+    v = values(3000, series=1, holes=0.1, seed=5)
+    day = P.with_(smooth_min=1440, span=1000)
+    rows = rolling.smooth_centered(frame(spark, v), ["v"], day)
+    want = v["v"].rolling(288, center=True, min_periods=144).median()
+    np.testing.assert_allclose(collected(rows, "ts")["v"], want)
+    assert "FlatMapGroupsInPandas" in rows._jdf.queryExecution().executedPlan().toString()
