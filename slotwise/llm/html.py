@@ -8,8 +8,8 @@ gradients are expected less observed counts from the same messages.
 
 Labelled pages are the built-in layouts below, in which ``data-main`` marks content, and a bounded
 sample of the pages at hand whose own landmarks (article or main) say what is content: of those with
-fewer than ``SAMPLE_CHARS`` characters the ``SAMPLE_PAGES`` with the smallest hashes, whatever the order
-of files and tasks. The fit is a classifier's fit and needs no more. Every page is then read whole in
+fewer than ``SAMPLE_CHARS`` characters the ``SAMPLE_PAGES`` with the smallest hashes, each once, whatever
+the order of files and tasks. The fit is a classifier's fit and needs no more. Every page is then read whole in
 the task that holds it; nothing is shuffled.
 
 Defined results: null or empty html gives an empty text; so does a page without content. Broken
@@ -428,8 +428,11 @@ def train(pages: DataFrame | None, html_col: str = "html", sample_pages: int = S
     sources = labelled_layouts()
     if pages is not None:
         short = pages.where(F.length(html_col) < SAMPLE_CHARS).select(F.col(html_col).alias("h"))
-        marked = short.where(F.lower("h").rlike("<(article|main)[ >]"))
-        sources += [r.h for r in marked.orderBy(F.xxhash64("h"), "h").limit(sample_pages).collect()]
+        marked = short.where(F.lower("h").rlike("<(article|main)[ >]")).withColumn("k", F.xxhash64("h"))
+        # Hashes first, so that tasks send the driver no pages that are not taken.
+        taken = [r.k for r in marked.select("k").distinct().orderBy("k").limit(sample_pages).collect()]
+        chosen = marked.where(F.col("k").isin(taken)).groupBy("k").agg(F.min("h").alias("h"))
+        sources += [r.h for r in chosen.orderBy("k").collect()]
     parsed = [parse(s) for s in sources]
     labelled = [(p, y) for p in parsed if (y := labels_of(p)) is not None]
     return fit([p for p, _ in labelled], [y for _, y in labelled])
